@@ -25,11 +25,11 @@ def clean_case_number(col: Column) -> Column:
 def clean_decision_number(col: Column) -> Column:
     """``61/1042-р/к``, ``325-р`` and the like; the suffix ``-р`` is added where it was lost. Null where no digit is left.
 
-    Leading zeros, ``№``, spaces, dashes, case and look-alike letters make no difference.
+    ``№``, spaces, dashes, case and look-alike letters make no difference; digits stay as they are.
     """
     t = F.lower(to_cyrillic(base(col)))
     t = F.regexp_replace(t, "[^0-9а-яіїєґ/]", "")
-    head = F.regexp_replace(F.regexp_extract(t, r"^[^0-9]*(\d[\d/]*?)/?(?:[^\d/].*)?$", 1), r"(^|/)0+(?=\d)", "$1")
+    head = F.regexp_extract(t, r"^[^0-9]*(\d[\d/]*?)/?(?:[^\d/].*)?$", 1)
     tail = F.when(F.regexp_extract(t, r"\d/?([^\d/].*)$", 1).isin("р/к", "рк"), F.lit("-р/к")).otherwise(F.lit("-р"))
     return F.when(head != "", F.concat(head, tail))
 
