@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexmill.llm import canon
+from lexmill.llm import bpe, canon
+from lexmill.llm import incremental_dedup as inc
 from lexmill.session import table
 
 FIELDS = {"decision_number": "number", "liable_parties": "text", "search_blob": "text"}
@@ -22,5 +24,29 @@ def p2_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canon.canonical(_records(spark, sf_dir, "rec_id", *FIELDS), "rec_id", FIELDS)
 
 
-QUERIES = {"p2_found": p2_found, "p2_plain": p2_plain}
-SQL: dict[str, str] = {}
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrivals = table(spark, sf_dir, "practice_batches")
+    index = inc.SegmentIndex(inc.act_parts(table(spark, sf_dir, "practice")))
+    for row in arrivals.select("batch_no").distinct().orderBy("batch_no").collect():
+        index.accept(inc.act_parts(arrivals.filter(F.col("batch_no") == row.batch_no)))
+    return index.repeats(inc.act_parts(arrivals))
+
+
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text", f"{bpe.TOKENIZERS}/{bpe.VOCABULARY}")
+
+
+def p6_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.decode_corpus(p6_ids(spark, sf_dir), "doc_id", "ids", f"{bpe.TOKENIZERS}/{bpe.VOCABULARY}")
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p2_found": p2_found,
+    "p2_plain": p2_plain,
+    "p6_ids": p6_ids,
+    "p6_decoded": p6_decoded,
+}
+SQL: dict[str, str] = {
+    "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
+}
