@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import bpe, canon
+from lexmill.llm import bpe, canon, langid, leakage
 from lexmill.llm import incremental_dedup as inc
 from lexmill.session import table
 
@@ -40,12 +40,48 @@ def p6_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode_corpus(p6_ids(spark, sf_dir), "doc_id", "ids", f"{bpe.TOKENIZERS}/{bpe.VOCABULARY}")
 
 
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
+def p7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir)
+
+
+def p7_clean_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return leakage.without_leaks(docs.select("doc_id", "lang", "source"), _leaks(spark, sf_dir))
+
+
+def _models(docs: DataFrame) -> langid.Models:
+    return langid.train([(r.lang, r.t) for r in langid.sample(docs, "doc_id", "text", "lang").collect()])
+
+
+def p8_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.segments(docs, _models(docs)).drop("label", "langs")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.wrong_or_mixed(langid.segments(docs, _models(docs))).select("doc_id", "seg_no", "lang")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p2_found": p2_found,
     "p2_plain": p2_plain,
     "p6_ids": p6_ids,
     "p6_decoded": p6_decoded,
+    "p7_found": p7_found,
+    "p7_passages": p7_passages,
+    "p7_clean_corpus": p7_clean_corpus,
+    "p8_found": p8_found,
+    "p8_segments": p8_segments,
 }
 SQL: dict[str, str] = {
     "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
