@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import bpe, canon, langid, leakage
+from lexmill.llm import bpe, canon, langid, leakage, name_links
 from lexmill.llm import incremental_dedup as inc
 from lexmill.session import table
 
@@ -32,6 +32,10 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.repeats(inc.act_parts(arrivals))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return name_links.pairs(table(spark, sf_dir, "party_names"), "name_id").toDF("name_id_a", "name_id_b")
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text", f"{bpe.TOKENIZERS}/{bpe.VOCABULARY}")
 
@@ -75,6 +79,7 @@ QUERIES = {
     "p1_found": p1_found,
     "p2_found": p2_found,
     "p2_plain": p2_plain,
+    "p4_found": p4_found,
     "p6_ids": p6_ids,
     "p6_decoded": p6_decoded,
     "p7_found": p7_found,
