@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import bpe, canon, langid, leakage, name_links
+from lexmill.llm import bpe, canon, case_links, langid, leakage, name_links
 from lexmill.llm import incremental_dedup as inc
 from lexmill.session import table
 
@@ -32,6 +32,14 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.repeats(inc.act_parts(arrivals))
 
 
+def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return case_links.contested(table(spark, sf_dir, "practice"), table(spark, sf_dir, "court_docs"), table(spark, sf_dir, "court_texts"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_links(spark, sf_dir).select("rec_id", "cause_num")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return name_links.pairs(table(spark, sf_dir, "party_names"), "name_id").toDF("name_id_a", "name_id_b")
 
@@ -79,6 +87,8 @@ QUERIES = {
     "p1_found": p1_found,
     "p2_found": p2_found,
     "p2_plain": p2_plain,
+    "p3_found": p3_found,
+    "p3_links": p3_links,
     "p4_found": p4_found,
     "p6_ids": p6_ids,
     "p6_decoded": p6_decoded,
