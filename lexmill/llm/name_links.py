@@ -106,26 +106,27 @@ def with_roots(rows: DataFrame) -> DataFrame:
 def fits(a: tuple[str, ...], b: tuple[str, ...]) -> int | None:
     """Cost of the best assignment of the words of the shorter to those of the longer, None if some word fits none.
 
-    0 for an equal word, 1 for one edit, 1 for an initial; words left over on the longer side cost nothing.
+    0 for an equal word (1 more if the words change places), 1 for one edit, 1 for an initial at its own place;
+    words left over on the longer side cost nothing.
     """
     if len(a) > len(b):
         a, b = b, a
 
-    def cost(x: str, y: str) -> int | None:
-        if x == y:
-            return 0
+    def cost(x: str, y: str, moved: bool) -> int | None:
         if len(x) == 1 or len(y) == 1:
-            return 1 if x[0] == y[0] else None
+            return None if moved or x[0] != y[0] else int(x != y)
+        if x == y:
+            return int(moved)
         return 1 if min(len(x), len(y)) >= 4 and near(x, y) else None
 
     best = None
     for way in permutations(range(len(b)), len(a)):
         got = 0
-        for x, j in zip(a, way):
-            c = cost(x, b[j])
+        for i, (x, j) in enumerate(zip(a, way)):
+            c = cost(x, b[j], i != j)
             if c is None:
                 break
-            got += c + (way != tuple(sorted(way)))
+            got += c
         else:
             best = got if best is None else min(best, got)
     return best
@@ -178,9 +179,9 @@ def persons(forms: list[tuple[tuple[str, ...], frozenset, frozenset]]) -> list[i
 
 
 def _of_surname(rows: pd.DataFrame) -> pd.DataFrame:
-    forms = [(tuple(w), frozenset(c), frozenset(t)) for w, c, t in zip(rows["rest"], rows["codes"], rows["towns"])]
+    forms = [(tuple(w), frozenset(filter(None, [c])), frozenset(filter(None, [t]))) for w, c, t in zip(rows["rest"], rows["code_key"], rows["town_key"])]
     who = persons(forms)
-    return pd.DataFrame({"root": rows["root"], "rest": rows["rest"], "town_key": rows["town_key"], "who": [None if w is None else int(rows["least"].iloc[w]) for w in who]}).astype({"who": "Int64"})
+    return pd.DataFrame({"root": rows["root"], "rest": rows["rest"], "town_key": rows["town_key"], "code_key": rows["code_key"], "who": [None if w is None else int(rows["least"].iloc[w]) for w in who]}).astype({"who": "Int64"})
 
 
 def entities(rows: DataFrame) -> DataFrame:
@@ -188,10 +189,10 @@ def entities(rows: DataFrame) -> DataFrame:
     rooted = written(with_roots(rows), "names")
     firms = rooted.filter("scope <> 'person'").select("id", F.col("root").alias("entity"))
     # the distinct forms of a surname: few, however many rows repeat them
-    own = rooted.filter("scope = 'person'").withColumn("town_key", F.coalesce("town", F.lit("")))
-    forms = own.groupBy("root", "rest", "town_key").agg(F.min("id").alias("least"), F.collect_set("code").alias("codes"), F.collect_set("town").alias("towns"))
-    found = forms.groupBy("root").applyInPandas(_of_surname, "root long, rest array<string>, town_key string, who long")
-    people = own.join(found, ["root", "rest", "town_key"]).filter("who is not null").select("id", F.col("who").alias("entity"))
+    own = rooted.filter("scope = 'person'").withColumn("town_key", F.coalesce("town", F.lit(""))).withColumn("code_key", F.coalesce("code", F.lit("")))
+    forms = own.groupBy("root", "rest", "town_key", "code_key").agg(F.min("id").alias("least"))
+    found = forms.groupBy("root").applyInPandas(_of_surname, "root long, rest array<string>, town_key string, code_key string, who long")
+    people = own.join(found, ["root", "rest", "town_key", "code_key"]).filter("who is not null").select("id", F.col("who").alias("entity"))
     return firms.unionByName(people)
 
 
