@@ -67,3 +67,38 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_challengers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history(table(spark, sf_dir, "registry_snapshots"), challenger_satellite())
+
+
+def _sql(attributes: dict[str, str], ask: str) -> str:
+    from lexmill.functions.chars import SLASHES, digit_pairs, width_pairs
+
+    d, w = digit_pairs(), width_pairs()
+    seen = dict(zip(w[0], w[1])) | dict(zip(d[0], d[1])) | {c: "/" for c in SLASHES}
+    src, dst = "".join(seen).replace("'", "''"), "".join(seen.values()).replace("'", "''")
+    plain = "trim(regexp_replace(regexp_replace({c}, '[\\x{{AD}}\\x{{200B}}-\\x{{200F}}\\x{{2060}}-\\x{{2064}}\\x{{FEFF}}]', '', 'g'), '[\\s\\x{{A0}}\\x{{2000}}-\\x{{200A}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]+', ' ', 'g'))"
+    case = f"nullif(regexp_extract(regexp_replace(translate(case_number, '{src}', '{dst}'), '[^0-9/]', '', 'g'), '(\\d+/\\d+/\\d+)', 1), '')"
+    fold = str.maketrans(LATIN_ALIKE, CYRILLIC_ALIKE)
+    label = f"regexp_replace({plain.format(c='status_label')}, '[\\s.]+$', '')"
+    known = " ".join(f"WHEN '{k.translate(fold).lower()}' THEN '{k}'" for k in LABELS)
+    own = f"CASE lower(translate({label}, '{LATIN_ALIKE}', '{CYRILLIC_ALIKE}')) {known} ELSE nullif({label}, '') END"
+    code = f"nullif(regexp_replace(lower(translate({plain.format(c='status')}, '{CYRILLIC_ALIKE}', '{LATIN_ALIKE}')), '[\\s-]+', '_', 'g'), '')"
+    first = {}
+    for k, v in LABELS.items():
+        first.setdefault(v, k)
+    from_label = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LABELS.items())
+    from_code = " ".join(f"WHEN '{v}' THEN '{k}'" for v, k in first.items())
+    names = ", ".join(attributes)
+    exprs = ", ".join(f"{e.format(challenger=plain.format(c='challenger'))} AS {a}" for a, e in attributes.items())
+    return f"""WITH c AS (SELECT *, {case} AS cn, {code} AS c0, {own} AS l0 FROM registry_snapshots),
+      f AS (SELECT *, coalesce(c0, CASE l0 {from_label} END) AS code, coalesce(l0, CASE c0 {from_code} END) AS label FROM c),
+      o AS (SELECT decision_key, cn AS case_number, snapshot_on, try_cast(updated_at AS TIMESTAMPTZ) AS u, delivered_at, {exprs} FROM f WHERE cn IS NOT NULL AND decision_key IS NOT NULL),
+      b AS (SELECT * FROM o WHERE {ask} QUALIFY row_number() OVER (PARTITION BY decision_key, case_number, snapshot_on ORDER BY u DESC, delivered_at DESC) = 1),
+      h AS (SELECT *, md5(concat_ws(chr(31), {names})) AS hash FROM b),
+      v AS (SELECT * FROM h QUALIFY lag(hash) OVER (PARTITION BY decision_key, case_number ORDER BY snapshot_on) IS DISTINCT FROM hash)
+      SELECT decision_key, case_number, {names}, strftime(snapshot_on, '%Y-%m-%d') AS valid_from, coalesce(strftime(lead(snapshot_on) OVER (PARTITION BY decision_key, case_number ORDER BY snapshot_on), '%Y-%m-%d'), '9999-12-31') AS valid_to FROM v"""
+
+
+SQL = {
+    "p5_found": _sql({"status": "code", "status_label": "label"}, "coalesce(status, status_label) IS NOT NULL"),
+    "p5_challengers": _sql({"challenger": "nullif({challenger}, '')"}, "challenger IS NOT NULL"),
+}
