@@ -19,7 +19,7 @@ def base(col: Column) -> Column:
 def clean_case_number(col: Column) -> Column:
     """``digits/digits/digits`` of a court case, or null where there is none."""
     hit = F.regexp_extract(F.regexp_replace(base(col), " ", ""), r"(\d+/\d+/\d+)", 1)
-    return F.when(hit != "", hit)
+    return F.when(col.rlike(r"^\d+/\d+/\d+$"), col).otherwise(F.when(hit != "", hit))
 
 
 def clean_decision_number(col: Column) -> Column:
@@ -27,6 +27,11 @@ def clean_decision_number(col: Column) -> Column:
 
     ``№``, spaces, dashes, case and look-alike letters make no difference; digits stay as they are.
     """
+    # most numbers are clean already: one test saves the foldings
+    return F.when(col.rlike(r"^(?:\d+/)?\d+-р(?:/к)?$"), col).otherwise(_folded_number(col))
+
+
+def _folded_number(col: Column) -> Column:
     t = F.lower(to_cyrillic(base(col)))
     t = F.regexp_replace(t, "[^0-9а-яіїєґ/]", "")
     head = F.regexp_extract(t, r"^[^0-9]*(\d[\d/]*?)/?(?:[^\d/].*)?$", 1)
@@ -36,6 +41,11 @@ def clean_decision_number(col: Column) -> Column:
 
 def clean_date(col: Column) -> Column:
     """``yyyy-MM-dd`` of an ISO date or time, ``yyyy/M/d``, ``d.M.yyyy``, ``d-M-yyyy`` or a date in words; null for any other text and for days that do not exist."""
+    iso = F.when(F.try_to_date(col, "yyyy-MM-dd").isNotNull(), col)
+    return F.when(col.rlike(r"^(?:19|20)\d\d-\d\d-\d\d$"), iso).otherwise(_folded_date(col))
+
+
+def _folded_date(col: Column) -> Column:
     t = F.lower(to_cyrillic(base(col)))
     ymd = r"(?<!\d)((?:19|20)\d\d)[-/.](\d{1,2})[-/.](\d{1,2})(?!\d)"
     dmy = r"(?<!\d)(\d{1,2})[-/.](\d{1,2})[-/.]((?:19|20)\d\d)(?!\d)"
