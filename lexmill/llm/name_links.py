@@ -22,7 +22,6 @@ from collections import defaultdict
 from functools import lru_cache
 from itertools import permutations
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -103,6 +102,7 @@ def with_roots(rows: DataFrame) -> DataFrame:
 # -- persons of one surname -------------------------------------------------------------------------------
 
 
+@lru_cache(maxsize=100_000)
 def fits(a: tuple[str, ...], b: tuple[str, ...]) -> int | None:
     """Cost of the best assignment of the words of the shorter to those of the longer, None if some word fits none.
 
@@ -140,24 +140,25 @@ def persons(forms: list[tuple[tuple[str, ...], frozenset, frozenset]]) -> list[i
     """
     full = [i for i, (w, _, _) in enumerate(forms) if sum(len(x) > 1 for x in w) >= 2]
     person: dict[int, int] = {}
-
-    def clash(i: int, j: int) -> bool:
-        a, b = forms[i][1], forms[j][1]
-        return bool(a and b and not a & b)
-
-    root = {i: i for i in range(len(forms))}
+    # forms that differ by town alone are one spelling of one person
+    spelled = {}
+    for i in full:
+        spelled.setdefault(forms[i][:2], i)
+    heads = list(spelled.values())
+    root = {i: i for i in heads}
 
     def find(i: int) -> int:
         while root[i] != i:
             i = root[i]
         return i
 
-    for n, i in enumerate(full):
-        for j in full[:n]:
-            if len(forms[i][0]) == len(forms[j][0]) and fits(forms[i][0], forms[j][0]) is not None and not clash(i, j):
-                a, b = sorted((find(i), find(j)))
-                root[b] = a
-    person.update({i: find(i) for i in full})
+    for n, i in enumerate(heads):
+        for j in heads[:n]:
+            (wi, ci, _), (wj, cj, _) = forms[i], forms[j]
+            if len(wi) == len(wj) and not (ci and cj and not ci & cj) and fits(wi, wj) is not None:
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    person.update({i: find(spelled[forms[i][:2]]) for i in full})
     rest = [i for i in range(len(forms)) if i not in person]
     # given name alone before initials: without a full form a given name makes the person
     for i in sorted(rest, key=lambda i: (-max((len(x) for x in forms[i][0]), default=0) > -2, i)):
@@ -178,10 +179,36 @@ def persons(forms: list[tuple[tuple[str, ...], frozenset, frozenset]]) -> list[i
     return [person.get(i) for i in range(len(forms))]
 
 
-def _of_surname(rows: pd.DataFrame) -> pd.DataFrame:
-    forms = [(tuple(w), frozenset(filter(None, [c])), frozenset(filter(None, [t]))) for w, c, t in zip(rows["rest"], rows["code_key"], rows["town_key"])]
-    who = persons(forms)
-    return pd.DataFrame({"root": rows["root"], "rest": rows["rest"], "town_key": rows["town_key"], "code_key": rows["code_key"], "who": [None if w is None else int(rows["least"].iloc[w]) for w in who]}).astype({"who": "Int64"})
+def _of_surnames(batches):
+    """Persons of the forms of each surname; rows come sorted by surname, one surname is held at a time."""
+    names = ["root", "rest", "town_key", "code_key", "who"]
+
+    def done(rows: list[tuple]):
+        who = persons([(tuple(w), frozenset(filter(None, [c])), frozenset(filter(None, [t]))) for _, w, t, c, _ in rows])
+        for r, w in zip(rows, who):
+            if w is not None:
+                for column, v in zip(out, (*r[:4], rows[w][4])):
+                    column.append(v)
+
+    def record():
+        kinds = (pa.int64(), pa.list_(pa.string()), pa.string(), pa.string(), pa.int64())
+        got = pa.record_batch([pa.array(x, k) for x, k in zip(out, kinds)], names=names)
+        for x in out:
+            x.clear()
+        return got
+
+    out: tuple[list, ...] = ([], [], [], [], [])
+    held: list[tuple] = []
+    for b in batches:
+        for r in zip(*(c.to_pylist() for c in b.columns)):
+            if held and held[0][0] != r[0]:
+                done(held)
+                held = []
+            held.append(r)
+        yield record()
+    if held:
+        done(held)
+    yield record()
 
 
 def entities(rows: DataFrame) -> DataFrame:
@@ -191,8 +218,10 @@ def entities(rows: DataFrame) -> DataFrame:
     # the distinct forms of a surname: few, however many rows repeat them
     own = rooted.filter("scope = 'person'").withColumn("town_key", F.coalesce("town", F.lit(""))).withColumn("code_key", F.coalesce("code", F.lit("")))
     forms = own.groupBy("root", "rest", "town_key", "code_key").agg(F.min("id").alias("least"))
-    found = forms.groupBy("root").applyInPandas(_of_surname, "root long, rest array<string>, town_key string, code_key string, who long")
-    people = own.join(found, ["root", "rest", "town_key", "code_key"]).filter("who is not null").select("id", F.col("who").alias("entity"))
+    # a number of its own for the partitions: these few bytes are much work, and would be merged into one task
+    forms = forms.repartition(width(rows.sparkSession, 12), "root").sortWithinPartitions("root", "rest", "town_key", "code_key")
+    found = forms.select("root", "rest", "town_key", "code_key", "least").mapInArrow(_of_surnames, "root long, rest array<string>, town_key string, code_key string, who long")
+    people = own.join(found, ["root", "rest", "town_key", "code_key"]).select("id", F.col("who").alias("entity"))
     return firms.unionByName(people)
 
 
