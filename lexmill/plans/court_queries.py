@@ -9,7 +9,7 @@ from lexmill.functions import decoders as D
 from lexmill.functions import text as X
 from lexmill.functions.chars import fold_digits
 from lexmill.functions.registry_text import clean_case_number
-from lexmill.operators import best, containment as C, registry as G
+from lexmill.operators import best, containment as C, court_documents as V, registry as G
 from lexmill.plans.practice_queries import _fold_sql
 from lexmill.session import table
 
@@ -285,6 +285,51 @@ def q42_replace_year(spark: SparkSession, sf: str) -> DataFrame:
     return best.replace_year(g, 2025).select("decision_key", "case_number", F.array_join("source_years", ",").alias("years"))
 
 
+_CASE_IN_TEXT = "regexp_matches(form, '(^|[^0-9a-zа-яіїєг/])' || cause || '($|[^0-9a-zа-яіїєг/])')"
+
+
+@query(f"""WITH d AS (SELECT DISTINCT doc_id, {_CASE} AS cause FROM court_docs), t AS (SELECT t.doc_id, {_FORM_SQL.format(c=_fold_sql('text'))} AS form, max(d.cause) AS cause FROM court_texts t LEFT JOIN d USING (doc_id) GROUP BY 1, 2),
+  v AS (SELECT doc_id, length(form) AS n, coalesce({_CASE_IN_TEXT}, false) AS hit, regexp_matches(form, '(?:^|\\s)(?:{'|'.join(V.JUDGMENTS)})(?:\\s|$)') AS j, regexp_matches(form, '{'|'.join(V.COURTS)}') AS c, regexp_matches(form, '(?:^|\\s)справ[аиіою](?:\\s|$)') AS w FROM t)
+  SELECT doc_id, (n >= 300 AND hit) OR (n >= 1000 AND w AND j AND c) AS valid, CASE WHEN n < 300 THEN 'too_short' WHEN NOT ((n >= 300 AND hit) OR (n >= 1000 AND w AND j AND c)) THEN 'case_number_or_court_markers_missing' ELSE 'ok' END AS reason FROM v""")
+def q46_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """Which court texts are whole documents, and why not."""
+    d = table(spark, sf, "court_docs").select("doc_id", clean_case_number(F.col("cause_num")).alias("cause")).groupBy("doc_id").agg(F.max("cause").alias("cause"))
+    t = table(spark, sf, "court_texts").select("doc_id", _form(F.col("text")).alias("form")).join(d, "doc_id", "left")
+    hit = F.coalesce(F.regexp_like("form", F.concat(F.lit(f"(?<![{C.EDGE}])"), F.col("cause"), F.lit(f"(?![{C.EDGE}])"))), F.lit(False))
+    valid, reason = V.validation(F.col("form"), hit)
+    return t.select("doc_id", valid.alias("valid"), reason.alias("reason"))
+
+
+@query(_CONTAINED + f""", p AS (SELECT rec_id, {_IDENT_SQL.format(c=_fold_sql('decision_number'))} AS number, decision_date FROM practice WHERE decision_number IS NOT NULL), d AS (SELECT doc_id, min(adjudication_date) AS day FROM court_docs WHERE regexp_matches(adjudication_date, '^\\d{{4}}-\\d\\d-\\d\\d$') GROUP BY 1)
+  SELECT hit.doc_id, p.rec_id, coalesce(d.day >= CASE WHEN regexp_matches(p.decision_date, '^\\d{{4}}-\\d\\d-\\d\\d$') THEN p.decision_date END, true) AS possible FROM hit JOIN p USING (number) LEFT JOIN d ON d.doc_id = hit.doc_id""")
+def q47_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts and all records of the numbers that they hold, with the test of chronology."""
+    iso = lambda c: F.when(F.col(c).rlike(r"^\d{4}-\d\d-\d\d$"), F.col(c))
+    p = table(spark, sf, "practice").filter("decision_number is not null").select("rec_id", X.identifier_form(fold_digits(F.col("decision_number"))).alias("number"), iso("decision_date").alias("decided"))
+    d = table(spark, sf, "court_docs").groupBy("doc_id").agg(F.min(iso("adjudication_date")).alias("day"))
+    return held_numbers(spark, sf).join(p, "number").join(d, "doc_id", "left").select("doc_id", "rec_id", F.coalesce(F.col("day") >= F.col("decided"), F.lit(True)).alias("possible"))
+
+
+@query(f"""WITH s AS ({_SNAP}), k AS (SELECT DISTINCT decision_key, case_number FROM s), p AS (SELECT decision_key, min(rec_id) AS rec_id FROM practice GROUP BY 1)
+  SELECT k.decision_key, k.case_number, p.rec_id, CASE WHEN p.rec_id IS NULL THEN 'not_in_practice' ELSE 'linked' END AS reason FROM k LEFT JOIN p USING (decision_key)""")
+def q48_registry_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Known cases of the registry against practice; a miss keeps its row with the reason."""
+    k = snapshots(spark, sf).select("decision_key", "case_number").distinct()
+    p = table(spark, sf, "practice").groupBy("decision_key").agg(F.min("rec_id").alias("rec_id"))
+    return k.join(p, "decision_key", "left").withColumn("reason", F.when(F.col("rec_id").isNull(), "not_in_practice").otherwise("linked"))
+
+
+@query("""SELECT rec_id, coalesce(lower(trim(confidence)) = 'high', false) AND coalesce(decision_outcome, '') <> 'other' AS resolves, CASE WHEN confidence IN ('high', 'medium', 'low') THEN confidence ELSE 'low' END AS confidence,
+   CASE WHEN confidence = 'high' AND coalesce(decision_outcome, '') <> 'other' THEN CASE WHEN decision_outcome = 'violation_found' THEN 'upheld' ELSE 'overturned' END ELSE 'ongoing' END AS outcome FROM practice""")
+def q49_coercion(spark: SparkSession, sf: str) -> DataFrame:
+    """Annotations brought to their closed form (here made of practice columns)."""
+    r = F.when(F.lower(F.trim("confidence")) == "high", "Yes").otherwise("no")
+    inv = F.when(F.col("decision_outcome") == "other", "1").otherwise("0")
+    outcome = F.when(F.col("decision_outcome") == "violation_found", "upheld").when(F.col("decision_outcome") == "other", "x").otherwise("overturned")
+    c = V.coerced(r, inv, outcome, F.col("confidence"))
+    return table(spark, sf, "practice").select("rec_id", c["resolves"].alias("resolves"), c["confidence"].alias("confidence"), c["outcome"].alias("outcome"))
+
+
 @query(None)
 def q43_rtf(spark: SparkSession, sf: str) -> DataFrame:
     """Court texts wrapped as RTF and decoded again; ``same`` says that nothing was lost."""

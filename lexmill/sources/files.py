@@ -88,6 +88,12 @@ def documents(spark: SparkSession, path: str) -> DataFrame:
     return df.filter(F.col("path").rlike(r"(?i)\.(?:docx?|rtf|html?|txt)$") & ~F.col("path").rlike(JUNK)).select("path", "content", F.sha2("content", 256).alias("file_sha256"))
 
 
+def archive_url(entries: DataFrame, name: str, order: str = "ord") -> DataFrame:
+    """``url`` of a dataset's archive: the entry of exactly that name, else the first whose address ends in ``.zip``; one row, or none."""
+    rank = F.when(F.col("name") == name, 0).when(F.lower("url").endswith(".zip"), 1)
+    return entries.withColumn("_r", rank).filter("_r is not null").agg(F.min_by("url", F.struct("_r", order)).alias("url")).filter("url is not null")
+
+
 def append_events(df: DataFrame, path: str, dry_run: bool = False) -> None:
     """Append rows to an event log of JSON lines, each with the time of writing; nothing on a dry run."""
     if not dry_run:

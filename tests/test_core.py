@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import decoders as D
 from lexmill.functions import text as X
 from lexmill.functions.registry_text import clean_case_number, clean_date, clean_decision_number
-from lexmill.operators import best, containment as C, history as H, registry as G, resources as R, rules, search as S, timeline as L
+from lexmill.operators import best, containment as C, court_documents as V, history as H, registry as G, resources as R, rules, search as S, timeline as L
 from lexmill.plans import challenge_history
 from lexmill.sources import files
 
@@ -221,6 +221,34 @@ def test_sources(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "csv"), header=True).first().l == "[1,2]"
 
 
+def test_court_documents(spark):
+    rows = [("слово " * 60 + "справа 905/1/20", True), ("коротко", True), ("rtf1 ansi " + "а " * 400, True), ("справа ухвала господарський суд " * 40, False), ("а " * 200, False)]
+    valid, reason = V.validation(F.col("t"), F.col("h"))
+    got = spark.createDataFrame(rows, "t string, h boolean").select(valid.alias("v"), reason.alias("r")).collect()
+    assert [tuple(r) for r in got] == [(True, "ok"), (False, "too_short"), (False, "raw_rtf_not_decoded"), (True, "ok"), (False, "case_number_or_court_markers_missing")]
+    a = spark.createDataFrame([("d", 2, True, "b"), ("d", 1, False, "a"), ("d", 3, True, "c"), ("e", 1, False, "x")], "k string, o int, v boolean, t string")
+    assert {tuple(r) for r in V.first_valid(a, "k", "o", "v", ["t"]).collect()} == {("d", "b", 3), ("e", None, 1)}
+    p = spark.createDataFrame([("позов тов тімобігизу агро до комітету 01 02 2020", ["особа 1", "пп інша назва", "тов тімобігизу агро"], "2020-02-01", "31.01.2020")], "f string, p array<string>, d string, c string")
+    r = p.select(V.party_needle(F.col("f"), F.col("p")).alias("n"), V.holds_date(F.col("f"), F.to_date("d")).alias("h"), V.possible(F.col("d"), F.col("c")).alias("o"), V.possible(F.col("d"), F.lit("н/д")).alias("u")).first()
+    assert tuple(r) == ("тов тімобігизу агро", True, False, True)
+    c = V.coerced(F.lit("yes"), F.lit("no"), F.lit("upheld"), F.lit("sure"))
+    assert spark.range(1).select(*[v.alias(k) for k, v in c.items()]).first().asDict() == {"invalidates": False, "resolves": True, "outcome": "upheld", "confidence": "low"}
+    c = V.coerced(F.lit("1"), F.lit("True"), F.lit("upheld"), F.lit("high"))
+    assert spark.range(1).select(*[v.alias(k) for k, v in c.items()]).first().asDict() == {"invalidates": True, "resolves": False, "outcome": "ongoing", "confidence": "high"}
+    e = spark.createDataFrame([("a", "u1.zip", 1), ("want", "u2", 2), ("b", "u3.ZIP", 3)], "name string, url string, ord int")
+    assert files.archive_url(e, "want").first().url == "u2" and files.archive_url(e, "none").first().url == "u1.zip" and files.archive_url(e.limit(0), "x").count() == 0
+
+
+def test_plans_prune_and_push(spark, data):
+    import __spark_entry__ as e
+
+    plan = lambda n: e.queries()[n](spark, data)._jdf.queryExecution().executedPlan().toString()
+    scan = plan("q14_dimension_semi_join")
+    assert "EqualTo(status,1)" in scan and "court_code" not in scan.split("ReadSchema")[1].split(">")[0]
+    assert "ArrowEvalPython" not in plan("q10_dedupe_quality") and "Window" not in plan("q10_dedupe_quality")
+    assert "search_blob" not in plan("q31_sanctions")
+
+
 def test_registered_queries_run(spark, data):
     import __spark_entry__ as e
 
