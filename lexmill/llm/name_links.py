@@ -83,7 +83,8 @@ def token_links(toks: DataFrame) -> DataFrame:
     forms = toks.filter(n >= LEAST_FUZZY).select("*", F.explode(F.array_distinct(F.concat(F.array("token"), less))).alias("form"))
     x, y = forms.alias("x"), forms.alias("y")
     pairs = x.join(y, (F.col("x.scope") == F.col("y.scope")) & (F.col("x.form") == F.col("y.form")) & (F.col("x.node") < F.col("y.node")))
-    agree = lambda c: F.coalesce(F.col(f"x.{c}") == F.col(f"y.{c}"), F.lit(True))
+    # relatives share a surname, so its rows' codes and towns say nothing about the token
+    agree = lambda c: (F.col("x.scope") == "person") | F.coalesce(F.col(f"x.{c}") == F.col(f"y.{c}"), F.lit(True))
     a, b = F.col("x.token"), F.col("y.token")
     lev = F.levenshtein(a, b, 2)
     # two edits that exchange neighbours: equal letters, and but one place where they turn

@@ -45,6 +45,11 @@ def test_code_and_town_decide_between_relatives(spark):
     assert got == {(2, 3), (1, 5)}
 
 
+def test_mistyped_surname_of_a_family_in_several_towns(spark):
+    data = [(1, "Фозузоелцчук Наталія В'ячеславівна", None, None, "Дубогай"), (2, "ФОП Фозузолецчук Євген В'ячеславович", None, "7", "Степове"), (3, "ФОП Фозузолецчук Наталія В'ячеславівна", None, None, None)]
+    assert {(r.a, r.b) for r in M.pairs(spark.createDataFrame(data, SCHEMA)).collect()} == {(1, 3)}
+
+
 def test_index_links_equal_brute_force(spark):
     r = random.Random(2)
     words = {"".join(r.choice("абв") for _ in range(r.randrange(3, 8))) for _ in range(120)}
