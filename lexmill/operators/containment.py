@@ -18,24 +18,20 @@ def canonical(identifier: Column) -> Column:
     return F.regexp_replace(identifier, r"[\s-]+", "")
 
 
-def tokens(text: Column) -> Column:
-    """Canonical forms of all substrings of a matched-form text that could be an identifier.
+def tokens(text: Column, most: int = 9) -> Column:
+    """Canonical forms of all runs of up to ``most`` parts (words and signs) of a matched-form text that start with a digit.
 
-    An identifier is digits and letters with slashes and dashes; as dashes may be left out and spaces put
-    around signs, a place yields every reading: the longest run of groups and its shorter ends.
+    The text is cut at blanks, slashes and dashes once; no pattern with a repeated group runs over it, so texts of
+    any length are safe. Identifiers start with a digit and have at most ``most`` parts.
     """
-    group = r"[0-9]+[a-zа-яіїєг]*"
-    sign = r"(?: ?/ ?| ?- ?| )"
-    run = rf"(?<![{EDGE}]){group}(?:{sign}(?:[0-9]+[a-zа-яіїєг]*|[a-zа-яіїєг]{{1,3}}(?![a-zа-яіїєг])))*"
-    runs = F.regexp_extract_all(text, F.lit(f"({run})"), F.lit(1))
-
-    def readings(r: Column) -> Column:
-        parts = F.filter(F.split(F.regexp_replace(r, r" ?([/-]) ?| ", " $1 "), " +"), lambda p: (p != "") & (p != "-"))
-        n = F.size(parts)
-        starts = F.sequence(F.lit(1), n)
-        return F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.least(n - i + 1, F.lit(7))), lambda k: F.array_join(F.slice(parts, i, k), ""))))
-
-    return F.array_distinct(F.flatten(F.transform(runs, readings)))
+    parts = F.filter(F.split(F.regexp_replace(text, "([/-])", " $1 "), " +"), lambda p: (p != "") & (p != "-"))
+
+    def runs(p: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(p)), lambda i: F.ascii(F.element_at(p, i)).between(48, 57))
+        return F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.size(p) - i + 1, F.lit(most))), lambda k: F.array_join(F.slice(p, i, k), ""))))
+
+    # the parts are computed once, and a text without any has no runs
+    return F.array_distinct(F.flatten(F.transform(F.filter(F.array(parts), lambda p: F.size(p) > 0), runs)))
 
 
 def pattern(identifier: Column) -> Column:
