@@ -193,33 +193,38 @@ class Pieces(dict):
         self.begin()
 
     def begin(self) -> None:
+        """Forget all pieces. Row 0 stands for a line end."""
         self.clear()
-        self.todo: list[tuple[int, list[str]]] = []
-        self.ends: list[bool] = [True]
-        self.table = np.zeros((1, len(LANGUAGES) + 1))
+        self.todo: list[tuple[int, str]] = []
+        self.rows = 1
+        # of each piece: bits by language, letters, whether a sentence ends with it
+        self.table = np.zeros((1024, len(LANGUAGES) + 2))
+        self.table[0, -1] = 1
 
     def words(self, piece: str) -> list[str]:
         return [w.lower() for w in _RUNS.findall(self.plain(piece))]
 
     def __missing__(self, piece: str) -> int:
-        row = self[piece] = len(self.ends)
-        self.ends.append(bool(_END.search(piece)))
-        self.todo.append((row, self.words(piece)))
+        row = self[piece] = self.rows
+        self.rows += 1
+        self.todo.append((row, piece))
         return row
 
     def fill(self) -> None:
         if not self.todo:
             return
-        flat = sorted({w for _, ws in self.todo for w in ws})
+        split = [(row, piece, self.words(piece)) for row, piece in self.todo]
+        flat = sorted({w for _, _, ws in split for w in ws})
         place = {w: i for i, w in enumerate(flat)}
         bits = np.concatenate([self.models.score(flat[i : i + 20_000]) for i in range(0, len(flat), 20_000)]) if flat else np.zeros((0, len(LANGUAGES)))
-        grown = np.zeros((len(self.ends), len(LANGUAGES) + 1))
-        grown[: len(self.table)] = self.table
-        for row, ws in self.todo:
+        if self.rows > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros((max(self.rows - len(self.table), len(self.table)), self.table.shape[1]))])
+        for row, piece, ws in split:
+            self.table[row, -1] = bool(_END.search(piece))
             for w in ws:
-                grown[row, :-1] += bits[place[w]]
-                grown[row, -1] += len(w)
-        self.table, self.todo = grown, []
+                self.table[row, :-2] += bits[place[w]]
+                self.table[row, -2] += len(w)
+        self.todo = []
 
 
 def best_path(bits: np.ndarray, change: float = CHANGE_BITS) -> np.ndarray:
@@ -257,8 +262,8 @@ def scan(models: Models, pieces: Pieces, texts: list[str | None]):
         bounds.append(len(flat))
     pieces.fill()
     ids = np.array(flat, np.int64)
-    ends = np.array(pieces.ends, bool)[ids] if len(ids) else np.zeros(0, bool)
-    rows = pieces.table[ids] if len(ids) else np.zeros((0, len(LANGUAGES) + 1))
+    rows = pieces.table[ids]
+    ends = rows[:, -1] > 0
     real = np.cumsum(ids != 0)
     for i in range(len(texts)):
         a, b = bounds[i], bounds[i + 1]
@@ -267,7 +272,7 @@ def scan(models: Models, pieces: Pieces, texts: list[str | None]):
             continue
         cut = np.flatnonzero(ends[a:b]) + 1
         starts = np.r_[0, cut[:-1]] if len(cut) and cut[-1] == b - a else np.r_[0, cut]
-        sums = np.add.reduceat(rows[a:b], starts, 0)
+        sums = np.add.reduceat(rows[a:b, :-1], starts, 0)
         has = sums[:, -1] > 0
         if not has.any():
             yield None
