@@ -12,8 +12,8 @@ WS = "[\\s\\x0B\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
 
 
 def trim_all(col: Column) -> Column:
-    """Trim white space of any kind."""
-    return F.regexp_replace(col, f"^{WS}+|{WS}+$", "")
+    """Trim white space of any kind. (The look-behind keeps long runs inside a text from being tried at each of their places.)"""
+    return F.regexp_replace(col, f"^{WS}+|(?<!{WS}){WS}+$", "")
 
 
 def null_if_empty(col: Column) -> Column:

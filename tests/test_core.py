@@ -60,6 +60,11 @@ def test_text(spark, f, value, want):
     assert one(spark, None, f) in (None, "")
 
 
+def test_long_runs_of_blanks(spark):
+    t = "а" + " " * 300_000 + "б" + "\n" * 200_000 + "в"
+    assert one(spark, t, X.trim_all) == t and one(spark, t, X.compact) == "а б в" and one(spark, " " * 300_000, X.trim_all) == ""
+
+
 def test_fit_and_excerpt(spark):
     t = "a" * 700 + "b" * 600
     assert one(spark, t, lambda c: X.fit(c, 1000, "|")) == t[:700] + "|" + t[-300:]
