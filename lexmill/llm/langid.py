@@ -12,7 +12,8 @@ The models are fitted on a bounded sample of labelled documents (``per_language`
 language, chosen by a hash of the key); everything else reads all documents whole.
 
 Defined results: null texts and texts without words have no segments (``segments`` gives no row for them);
-repeated documents come out each; every label notation of :func:`label_code` counts as its language.
+repeated documents come out each; if no document has a label of the languages there is
+nothing to fit, and no document has segments; every label notation of :func:`label_code` counts as its language.
 """
 
 from __future__ import annotations
@@ -107,7 +108,9 @@ class Models:
 
 
 def _find(table: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.minimum(np.searchsorted(table, h), max(0, len(table) - 1))
+    if not len(table):
+        raise ValueError("the models were fitted on nothing")
+    at = np.minimum(np.searchsorted(table, h), len(table) - 1)
     return at, table[at] == h
 
 
@@ -254,6 +257,8 @@ def scan(models: Models, pieces: Pieces, texts: list[str | None]):
     """Yields for each text its segments ``(language, bits, first sentence, end)`` and the number of pieces before each sentence; None without words."""
     flat: list[int] = []
     bounds = [0]
+    if not len(models.grams[0]):
+        texts = [None] * len(texts)
     for t in texts:
         if t:
             for line in _LINES.split(t):

@@ -58,6 +58,13 @@ def test_segments(models):
     assert got == [["de"], ["uk", "ru", "uk"], None, None, None, None, ["pl"]]
 
 
+def test_nothing_to_fit(spark):
+    none = G.train([])
+    df = spark.createDataFrame([(1, TEXTS["uk"], None)], "doc_id long, text string, lang string")
+    assert G.segments(df, none).count() == 0
+    assert G.train([(r.lang, r.t) for r in G.sample(df, "doc_id", "text", "lang").collect()]).grams[0].size == 0
+
+
 def test_labels(spark):
     rows = [("uk_UA", "uk"), ("ukr", "uk"), ("EN", "en"), ("en-GB", "en"), ("ger", "de"), ("be", "be"), ("??", None), ("", None), (None, None), ("unknown", None), ("und", None)]
     df = spark.createDataFrame(rows, "a string, b string")
