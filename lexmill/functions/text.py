@@ -180,3 +180,32 @@ def amount(text: Column) -> Column:
     first = F.regexp_replace(t, r"^([^,]*),", "$1.")
     v = first.try_cast("double")
     return F.when(v != 0, v)
+
+
+def tag_body(html: Column, tag: str) -> Column:
+    """What stands in the first element of a tag; null where there is none."""
+    body = F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)
+    return F.when(body != "", body)
+
+
+def strip_tags(html: Column) -> Column:
+    """Drawings, scripts and styles dropped, block ends as line ends, tags as blanks."""
+    t = F.regexp_replace(html, r"(?is)<(script|style|noscript|svg)\b.*?</\1\s*>", " ")
+    t = F.regexp_replace(t, r"(?i)<br\s*/?>|</(?:p|div|li|tr|h[1-6]|section|article)\s*>", "\n")
+    return F.regexp_replace(t, r"<[^>]*>", " ")
+
+
+def page_title(html: Column) -> Column:
+    """First heading, else the title element."""
+    return compact(strip_tags(F.coalesce(tag_body(html, "h1"), tag_body(html, "title"), F.lit(""))))
+
+
+def page_text(html: Column) -> Column:
+    """Text of the main part: main, else article, else body, else all."""
+    return normalize_spaces(strip_tags(F.coalesce(tag_body(html, "main"), tag_body(html, "article"), tag_body(html, "body"), html)))
+
+
+def day_of(iso: Column) -> Column:
+    """``dd.MM.yyyy`` of an ISO date, the text itself where it is none."""
+    p = r"^(\d{4})-(\d{2})-(\d{2})"
+    return F.when(iso.rlike(p), F.concat_ws(".", F.regexp_extract(iso, p, 3), F.regexp_extract(iso, p, 2), F.regexp_extract(iso, p, 1))).otherwise(iso)

@@ -54,3 +54,11 @@ def first_decisive(events: DataFrame, keys: list[str], order: Column, decisive:
     """The newest decisive event of each key (null columns if it has none): what a walk from newest to oldest would stop at."""
     g = events.groupBy(*keys).agg(F.max_by(F.when(decisive, F.struct(*columns)), F.when(decisive, order)).alias("_e"), F.count("*").alias("events"))
     return g.select(*keys, "_e.*", "events")
+
+
+def label(status: Column, detail: Column, labels: dict[str, str], returned: str) -> Column:
+    """Label of a status; an open case whose detail tells of sending it for a new hearing has a label of its own."""
+    d = F.lower(detail)
+    sent = (status == "ongoing") & d.contains("направ") & d.contains("нов") & d.contains("розгляд")
+    table = F.create_map(*[F.lit(x) for p in labels.items() for x in p])
+    return F.when(F.coalesce(sent, F.lit(False)), returned).otherwise(F.coalesce(F.try_element_at(table, status), status))

@@ -60,6 +60,15 @@ def test_text(spark, f, value, want):
     assert one(spark, None, f) in (None, "")
 
 
+def test_pages(spark):
+    page = "<html><title>T</title><body>x<main><h1>Заголовок <b>А</b></h1><svg>no</svg><p>один</p>два</main></body></html>"
+    assert one(spark, page, X.page_title) == "Заголовок А" and one(spark, "<title>T</title>", X.page_title) == "T"
+    assert one(spark, page, X.page_text).split("\n") == ["Заголовок А ", " один", "два"] and one(spark, "без тегів", X.page_text) == "без тегів"
+    assert one(spark, "2024-02-01T10", X.day_of) == "01.02.2024" and one(spark, "н/д", X.day_of) == "н/д"
+    lab = lambda d: one(spark, d, lambda c: G.label(F.lit("ongoing"), c, {"ongoing": "триває"}, "новий розгляд"))
+    assert lab("Справу направлено на новий розгляд") == "новий розгляд" and lab(None) == "триває"
+
+
 def test_long_runs_of_blanks(spark):
     t = "а" + " " * 300_000 + "б" + "\n" * 200_000 + "в"
     assert one(spark, t, X.trim_all) == t and one(spark, t, X.compact) == "а б в" and one(spark, " " * 300_000, X.trim_all) == ""
