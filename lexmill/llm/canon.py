@@ -185,7 +185,8 @@ class Transducer:
             return form if l and form.lower() in LEGAL_FORMS and all(x in self.cyr for x in plain) else "".join(plain)
         if not c and not l:  # Greek letters alone
             return "".join(cyr) if all(script(x) == "C" for x in cyr) else "".join(plain)
-        return "".join(lat if (own_l, l) > (own_c, c) and not own_c else cyr)
+        # letters of one script only decide; a word of look-alikes alone is taken as Cyrillic
+        return "".join(lat if own_l and not own_c else cyr)
 
     def _number(self, m: re.Match) -> str:
         return "".join("-" if x in DASHES else self.cyr.get(x, x) for x in m[0])

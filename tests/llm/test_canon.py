@@ -18,6 +18,7 @@ CHANGED = [
     ("Андрій".replace("й", "й"), "Андрій"),
     ("ФОП Ігор", "ФОП Ігор"),
     ("Tоrhovyi dim", "Torhovyi dim"),
+    ("ooО", "ооО"),
     ("𝟽𝟽/𝟸𝟹𝟻-р", "77/235-р"),
     ("рішення 66/421-p/к від", "рішення 66/421-р/к від"),
     ("81/724−р/к || 2023", "81/724-р/к || 2023"),
