@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 
 import pytest
+from hypothesis import settings
 from pyspark.sql import SparkSession
 
 os.environ.setdefault("PYTHONPATH", os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+settings.register_profile("repeatable", derandomize=True, deadline=None)
+settings.load_profile("repeatable")
 DATA = "/root/testdata/sf0.001"
 
 
