@@ -9,6 +9,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Put the folder of this package on the path of the Python workers, for sessions started elsewhere."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors share, from ``spark.checkpoint.dir``.
 
