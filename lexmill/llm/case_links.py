@@ -1,14 +1,14 @@
 """Acts and the court cases that contest them: matching across sources without a key.
 
 From the texts of a case the passages that contest a decision of the authority are read: number, day, liable
-party, fine, each of which may be missing, anonymised or typed in another way. Both sources are sorted by
-several composite keys (sorted neighbourhood); within a key each mention meets the acts next to it in a
-sliding window; each pair gets a weighted similarity of its fields. A case takes one act, the one with the greatest total
+party, fine, each of which may be missing, anonymised or typed in another way. Both sources get several
+composite keys; a mention meets all acts of an equal key, and within the keys by name, which are sorted (sorted
+neighbourhood), also all acts of the names next to its own in a sliding window; each pair gets a weighted similarity of its fields. A case takes one act, the one with the greatest total
 over its texts, so the sum of confidences is the greatest possible (an act may be contested by several cases).
 
 The keys pair a number or a day with a second field, so a run of equal keys is a run of like acts; acts are merged and
-equal mentions of many cases are made one before: a number, day, party or act that a third of all rows share makes
-no large window.
+equal mentions of many cases are made one before. Of acts that tie on a key none is left out; where very many may tie, as
+those of one day and party, a mention with a number meets only the acts without one, for an act of another number can't fit.
 
 Defined results: texts that are null, cite only, or contest something else give no mention; mentions that
 fit no act well enough give no row, of equally good acts the lowest record is taken; repeated texts and
@@ -17,8 +17,6 @@ register rows count once; empty tables give no rows; only the named columns are
 
 from __future__ import annotations
 
-from functools import reduce
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,7 +27,7 @@ from lexmill.llm.party_names import read
 from lexmill.operators.history import hash_diff
 from lexmill.session import written
 
-#: Acts before and after a mention's place in sorted order that it is compared with.
+#: Names before and after a mention's own in sorted order whose acts it is compared with.
 WINDOW = 8
 #: Weights: field equal, nearly equal, different.
 WEIGHTS = {"number": (4.0, 2.0, -4.0), "day": (3.0, 1.0, -4.0), "party": (3.0, 3.0, -1.0), "fine": (2.0, 2.0, -1.0)}
@@ -111,38 +109,74 @@ def acts(practice: DataFrame) -> DataFrame:
     )
 
 
-def sort_keys(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """``run, place`` of each composite key of rows with number, day, fine, token (nulls make no key)."""
-    head, tail = F.substring("token", 1, 2), F.substring("token", -2, 2)
-    dept = F.regexp_extract("number", r"^(\d*)(?:/|-)", 1)
-    key = lambda n, place, *run: F.when(reduce(lambda a, b: a & b, [r.isNotNull() for r in (*run, place)]), F.struct(F.concat_ws("|", F.lit(n), *run).alias("run"), place.alias("place")))
-    number, day, fine, token = (F.col(c) for c in ("number", "day", "fine", "token"))
-    keys = [
-        key("nd", day, number, F.substring(day, 1, 4)),
-        key("dn", number, day, dept),
-        key("np", token, number, head),
-        key("pn", F.reverse(token), number, tail),
-        key("dp", token, day, head),
-        key("pd", F.reverse(token), day, tail),
-        key("nf", F.coalesce(day, F.lit("")), number, fine),
-        key("df", F.coalesce(number, F.lit("")), day, fine),
-    ]
+def _digits(number: Column) -> Column:
+    return F.array_sort(F.split(number, ""))
+
+
+def _keys(rows: DataFrame, keep: list[str], keys: list[Column]) -> DataFrame:
     return rows.select(*keep, F.explode(F.array_distinct(F.array_compact(F.array(*keys)))).alias("_k")).select(*keep, "_k.*").distinct()
 
 
+def _run(name: str, *parts: Column | str) -> Column:
+    """The run of a key; null if a part is."""
+    return F.concat(F.lit(name), *[x for p in parts for x in (F.lit("|"), F.col(p) if isinstance(p, str) else p)])
+
+
+def equal_keys(rows: DataFrame, keep: list[str], act: bool) -> DataFrame:
+    """``run`` of each composite key that must be equal, of rows with number, day, fine (nulls make no key).
+
+    Numbers of the same digits share a run, as do days but for the year. A day and a fine are enough only where the act or the
+    mention has no number, for two numbers that differ outweigh them: the acts without one have a run of their own, which
+    is all that a mention with a number meets.
+    """
+    none = F.col("number").isNull()
+    key = lambda run: F.when(run.isNotNull(), F.struct(run.alias("run")))
+    keys = [key(_run("nd", F.concat_ws("", _digits(F.col("number"))), F.substring("day", 6, 5))), key(_run("nf", "number", "fine"))]
+    return _keys(rows, keep, [*keys, *[key(F.when(when, _run(f"df{side}", "day", "fine"))) for side, when in _sides(none, act)]])
+
+
+def _sides(none: Column, act: bool) -> list[tuple[str, Column]]:
+    """Run 0 holds the acts without a field and meets the mentions with it, run 1 all acts and the mentions without it."""
+    return [("0", none if act else ~none), ("1", F.lit(True) if act else none)]
+
+
+def sort_keys(rows: DataFrame, keep: list[str], act: bool) -> DataFrame:
+    """``run, place`` of each composite key by name, sorted both ways round, of rows with number, day, token (nulls make no key).
+
+    Number and name decide only where a day is missing, day and name where a number is (see :func:`equal_keys`).
+    """
+    digits, keys = F.concat_ws("", _digits(F.col("number"))), []
+    for order, place, end in (("f", F.col("token"), F.substring("token", 1, 2)), ("b", F.reverse("token"), F.substring("token", -2, 2))):
+        for name, by, missing in ((f"np{order}", digits, "day"), (f"dp{order}", F.col("day"), "number")):
+            for side, when in _sides(F.col(missing).isNull(), act):
+                run = F.when(when, _run(name + side, by, end))
+                keys.append(F.when(run.isNotNull(), F.struct(run.alias("run"), place.alias("place"))))
+    return _keys(rows, keep, keys)
+
+
 def neighbours(said: DataFrame, known: DataFrame, window: int = WINDOW) -> DataFrame:
     """``mention, act`` of each mention and the acts within ``window`` places of its own place in a run.
 
-    Only acts are counted as places, so many mentions of one act don't push it out of the window.
+    Only distinct places of acts are counted, and all acts of a place are taken: neither many mentions of one act nor many
+    acts of one place push anything out of the window.
     """
     both = known.select("run", "place", "act", F.lit(None).cast("long").alias("mention")).unionByName(said.select("run", "place", F.lit(None).cast("long").alias("act"), "mention"))
-    w = Window.partitionBy("run").orderBy("place", F.col("act").isNull(), "act").rowsBetween(Window.unboundedPreceding, 0)
-    both = written(both.withColumn("at", F.count("act").over(w)), "neighbourhood")
+    w = Window.partitionBy("run").orderBy("place", F.col("act").isNull())
+    # the acts of a place come first, so its first row tells whether it holds one
+    new = F.col("act").isNotNull() & ~F.lag("place").over(w).eqNullSafe(F.col("place"))
+    both = both.withColumn("_new", new.cast("int")).withColumn("at", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    both = written(both.drop("_new"), "neighbourhood")
     a = both.filter("act is not null").select("run", "at", "act")
     m = both.filter("mention is not null").select("run", F.explode(F.sequence(F.col("at") - window + 1, F.col("at") + window)).alias("at"), "mention")
     return m.join(a, ["run", "at"]).select("mention", "act").distinct()
 
 
+def met(said: DataFrame, known: DataFrame) -> DataFrame:
+    """``mention, act`` of all that share a key, or stand near each other by name within one."""
+    same = equal_keys(said, ["mention"], False).join(equal_keys(known, ["act"], True), "run").select("mention", "act")
+    return same.unionByName(neighbours(sort_keys(said, ["mention"], False), sort_keys(known, ["act"], True))).distinct()
+
+
 def _field(name: str, value: Column, values: Column, close: Column | None) -> Column:
     same, nearly, other = WEIGHTS[name]
     score = F.when(F.array_contains(values, value), same)
@@ -154,8 +188,7 @@ def _field(name: str, value: Column, values: Column, close: Column | None) -> Co
 def similarity() -> Column:
     """Weighted total of a mention (number, day, fine, scope, token) against an act's sets."""
     number, day, token = F.col("number"), F.col("day"), F.col("token")
-    digits = lambda c: F.array_sort(F.split(c, ""))
-    near_number = F.exists("numbers", lambda v: (F.levenshtein(v, number, 2) >= 0) & (digits(v) == digits(number)))
+    near_number = F.exists("numbers", lambda v: (F.levenshtein(v, number, 2) >= 0) & (_digits(v) == _digits(number)))
     near_day = F.exists("days", lambda v: (F.substring(v, 6, 5) == F.substring(day, 6, 5)) & (F.abs(F.substring(v, 1, 4).cast("int") - F.substring(day, 1, 4).cast("int")) == 1))
     party = F.exists("parties", lambda v: (v["scope"] == F.col("scope")) & (F.levenshtein(v["token"], token, 2) >= 0) & ((F.levenshtein(v["token"], token, 2) < 2) | (F.length(token) >= 7)))
     same, _, other = WEIGHTS["party"]
@@ -175,8 +208,7 @@ def contested(practice: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFra
     flat = flat.select("act", "number", F.explode_outer("days").alias("day"), "fines", "parties")
     flat = flat.select("act", "number", "day", F.explode_outer("fines").alias("fine"), "parties")
     flat = flat.select("act", "number", "day", "fine", F.explode_outer("parties").alias("_p")).select("act", "number", "day", "fine", "_p.token")
-    met = neighbours(sort_keys(said, ["mention"]), sort_keys(flat, ["act"]))
-    scored = met.join(said, "mention").join(known, "act").withColumn("score", similarity()).filter(F.col("score") >= LEAST).select("mention", "act", "score")
+    scored = met(said, flat).join(said, "mention").join(known, "act").withColumn("score", similarity()).filter(F.col("score") >= LEAST).select("mention", "act", "score")
     total = cases.select("cause_num", "mention").join(scored, "mention").groupBy("cause_num", "act").agg(F.sum("score").alias("total"), F.max("score").alias("best"))
     one = total.groupBy("cause_num").agg(F.max_by(F.struct("act", "best"), F.struct("total", -F.col("act"))).alias("_b"))
     return one.select(F.col("_b.act").alias("rec_id"), "cause_num", (1 / (1 + F.exp(-(F.col("_b.best") - 3)))).alias("confidence"))

@@ -50,3 +50,24 @@ def test_window_counts_acts_only(spark):
     said = spark.createDataFrame([("r", "020", 7), *[("r", "020", 100 + i) for i in range(40)]], "run string, place string, mention long")
     got = {r.act for r in K.neighbours(said, known, 3).collect() if r.mention == 7}
     assert got == {18, 19, 20, 21, 22, 23}
+
+
+def test_many_acts_of_one_day_and_party(spark):
+    party = ["ТОВ «Хамілитаху»"]
+    acts = [(1, None, "2022-07-29", None, None, party), *[(i, f"{100 + i}-р", "2022-07-29", None, None, party) for i in range(2, 52)]]
+    said = "Касаційне провадження № {}: скаржник ТОВ «{}» не погоджується з рішенням {}, ухваленим органом комітету."
+    texts = [
+        ("d1", said.format("924/1/22", "Хамілитаху", "від 2022-07-29 № 999-р")),  # the one act without a number
+        ("d2", said.format("924/2/22", "Хамілитаху", "від 2022-07-29")),  # all fit: the lowest record
+        ("d3", said.format("924/3/22", "Хамілитахуу", "від 2022-07-29 № 999-р")),  # a name beside theirs
+        ("d4", said.format("924/4/22", "НАЗВА_1", "від 2022-07-29 № 147-р")),
+        ("d5", said.format("924/5/22", "НАЗВА_1", "від 2022-07-29 № 417-р")),  # 147 with two digits exchanged
+    ]
+    got = K.contested(spark.createDataFrame(acts, P), spark.createDataFrame([], "doc_id string, cause_num string"), spark.createDataFrame(texts, "doc_id string, text string")).collect()
+    assert {r.cause_num: r.rec_id for r in got} == {"924/1/22": 1, "924/2/22": 1, "924/3/22": 1, "924/4/22": 47, "924/5/22": 47}
+
+
+def test_all_acts_of_a_place(spark):
+    known = spark.createDataFrame([("r", "020", i) for i in range(50)] + [("r", "021", 50), ("r", "022", 51)], "run string, place string, act long")
+    got = {r.act for r in K.neighbours(spark.createDataFrame([("r", "020", 1), ("r", "0200", 2)], "run string, place string, mention long"), known, 1).filter("mention = 1").collect()}
+    assert got == set(range(51))
