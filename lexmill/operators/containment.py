@@ -18,20 +18,33 @@ def canonical(identifier: Column) -> Column:
     return F.regexp_replace(identifier, r"[\s-]+", "")
 
 
-def tokens(text: Column, most: int = 9) -> Column:
-    """Canonical forms of all runs of up to ``most`` parts (words and signs) of a matched-form text that start with a digit.
+def _parts(text: Column) -> Column:
+    return F.filter(F.split(F.regexp_replace(text, "([/-])", " $1 "), " +"), lambda p: (p != "") & (p != "-"))
+
+
+def shapes(identifiers: DataFrame, identifier: str) -> tuple[list[str], list[int]]:
+    """First characters of the identifiers, and the numbers of parts that they have with all, some or none of their dashes: one aggregate."""
+    c = F.col(identifier)
+    lengths = F.sequence(F.size(_parts(F.regexp_replace(c, "-", ""))), F.size(_parts(c)))
+    own = identifiers.filter(canonical(c) != "").select(F.substring(canonical(c), 1, 1).alias("s"), F.explode(lengths).alias("n"))
+    one = own.agg(F.sort_array(F.collect_set("s")), F.sort_array(F.collect_set("n"))).first()
+    return list(one[0]), list(one[1])
+
+
+def tokens(text: Column, starts: list[str], lengths: list[int]) -> Column:
+    """Canonical forms of all runs of as many parts (words and signs) of a matched-form text as in ``lengths`` that start with one of ``starts``.
 
     The text is cut at blanks, slashes and dashes once; no pattern with a repeated group runs over it, so texts of
-    any length are safe. Identifiers start with a digit and have at most ``most`` parts.
+    any length are safe. Only runs of shapes that some identifier has (see :func:`shapes`) are made.
     """
-    parts = F.filter(F.split(F.regexp_replace(text, "([/-])", " $1 "), " +"), lambda p: (p != "") & (p != "-"))
+    wanted = F.array(*[F.lit(n) for n in lengths or [0]])
 
     def runs(p: Column) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), F.size(p)), lambda i: F.ascii(F.element_at(p, i)).between(48, 57))
-        return F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.size(p) - i + 1, F.lit(most))), lambda k: F.array_join(F.slice(p, i, k), ""))))
+        at = F.filter(F.sequence(F.lit(1), F.size(p)), lambda i: F.substring(F.element_at(p, i), 1, 1).isin(*starts))
+        return F.flatten(F.transform(at, lambda i: F.transform(F.filter(wanted, lambda k: k <= F.size(p) - i + 1), lambda k: F.array_join(F.slice(p, i, k), ""))))
 
     # the parts are computed once, and a text without any has no runs
-    return F.array_distinct(F.flatten(F.transform(F.filter(F.array(parts), lambda p: F.size(p) > 0), runs)))
+    return F.array_distinct(F.flatten(F.transform(F.filter(F.array(_parts(text)), lambda p: F.size(p) > 0), runs)))
 
 
 def pattern(identifier: Column) -> Column:
@@ -42,7 +55,7 @@ def pattern(identifier: Column) -> Column:
 
 def contained(texts: DataFrame, doc: str, form: str, identifiers: DataFrame, identifier: str) -> DataFrame:
     """``doc, identifier``: each text and each identifier that it holds. Rows of both inputs should be distinct by those columns."""
-    cut = texts.select(doc, form, F.explode(tokens(F.col(form))).alias("_t"))
     ids = identifiers.select(identifier).filter(F.col(identifier) != "").distinct().withColumn("_t", canonical(F.col(identifier)))
+    cut = texts.select(doc, form, F.explode(tokens(F.col(form), *shapes(ids, identifier))).alias("_t"))
     pairs = cut.join(ids, "_t")
     return pairs.filter(F.regexp_like(F.col(form), pattern(F.col(identifier)))).select(doc, identifier).distinct()

@@ -182,6 +182,15 @@ def test_containment_equals_nested_loop(spark):
     assert got == want
 
 
+def test_containment_of_any_shape(spark):
+    ids = ["ам-12/5", "/5-р", "1/2/3/4/5/6-р", "7-р"]
+    texts = [(0, "справа ам 12 / 5 від"), (1, "за -/5р та"), (2, "1 / 2/3/4/5/6 - р"), (3, "зам-12/5, 1/2/3/4/5/6-ра"), (4, "")]
+    df = spark.createDataFrame(texts, "doc int, t string").select("doc", X.match_form(F.col("t")).alias("form"))
+    frame = spark.createDataFrame([(n,) for n in ids], "number string")
+    assert {(x.doc, x.number) for x in C.contained(df, "doc", "form", frame, "number").collect()} == {(0, ids[0]), (1, ids[1]), (2, ids[2])}
+    assert C.contained(df, "doc", "form", frame.limit(0), "number").count() == 0
+
+
 def test_rules(spark):
     t = "пунктом 4 статті 50 та п. 13 ст. 50; пункт 4 частини першої статті 50, пункт 99 статті 50"
     assert one(spark, t, rules.points) == [4, 13]
