@@ -21,18 +21,26 @@ def let_workers_import(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) an own folder is made and set.
+    Where the session names none, an own folder is made and set, in local mode only: on a cluster each executor
+    would write to its own disk, so there it is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local"):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
         path = tempfile.mkdtemp(prefix="lexmill-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path for a written table in the shared folder."""
-    return f"{shared_dir(spark)}/lexmill/{name}-{uuid.uuid4().hex}"
+    """A new path for a written table, in the folder of this application, which is deleted when the driver's JVM ends."""
+    folder = f"{shared_dir(spark)}/lexmill/{spark.sparkContext.applicationId}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
