@@ -89,7 +89,8 @@ def party_key(names: DataFrame, name: str, keep: list[str]) -> DataFrame:
 def acts(practice: DataFrame) -> DataFrame:
     """``act, numbers, days, fines, parties`` of each act of practice, over all its records; the sets are of distinct values."""
     parts = written(act_parts(practice), "act-parts")
-    index = SegmentIndex(parts)
+    index = SegmentIndex(practice.sparkSession)
+    index.accept(parts)
     known = index.acts()
     owner = written(
         parts.alias("r").join(known.alias("s"), [F.col(f"r.{p}").eqNullSafe(F.col(f"s.{p}")) for p in PARTS], "left").select("r.rec", "r.number", "r.date", F.coalesce("act", "rec").alias("act")), "owners"

@@ -1,53 +1,73 @@
 """New batches against all history: a segment index for edit distance over the string of an act.
 
-The string of a record is ``date | number | facts``, each part in its clean form. It is cut into a fixed
-number of segments, one for each part; the index stores pairs of segments with their position and their
-lengths. Two strings of one act differ in one part at most (it is lost, or mistyped within a bounded edit
-distance), so they share two of the three segments: a batch looks up only the pairs of segments of its own
-strings, and what is found is verified. (Pairs, as a single segment such as a day is shared by far too
-many acts at scale.) After a batch is judged, its segments are appended; the history is never read again.
-
-Verified, for strings that share
-- date and number: the same act;
-- number and facts: the same act if a date is lost or the dates are at most two edits apart and differ in the year by one only;
-- date and facts: the same act if a number is lost or the numbers are at most two edits apart and have the same digits (two exchanged).
-
-Equal strings are one index entry, however many rows repeat them, so a hot act makes no hot group.
-
-Defined results: a row with fewer than two parts is never a repeat and is not indexed; a row that is
-repeated within the batch counts as accepted once the first is; ties cannot occur, as record ids are unique
-(of rows with an equal id one is kept); empty tables give no rows; other columns are not read.
+The string of a record is ``date | number | figures``: the clean date, the clean decision number, and the figures of the
+sentence of its summary that holds the most of them (they stay when sentences move, change words or go). Two strings
+are of one act if
+
+- date and number are equal, or
+- one of date and number is lost in one of them and the other part and the figures are equal, or
+- they are at most ``EDITS`` edits apart and all edits lie in the date or all in the number (mistyped). Edits in both are
+  another act: a series of acts keeps its figures and goes on in number and day.
+
+The index stores, for each accepted string, its number cut into ``EDITS + 1`` segments, each with its position and the
+number's length, beside the unedited rest of the string; the date likewise; and the pairs of parts that must be equal where a
+part is lost. A batch probes only the substrings of its own strings that can match a segment (the multi-match-aware
+selection for edit distance, for all lengths within ``EDITS``), verifies what it meets with a bounded edit distance, and appends
+its own segments. One of ``EDITS + 1`` segments is always left unedited, so no pair within the bound is missed.
+
+The index is kept in a folder: entries partitioned by a hash of their key, of which a batch reads the partitions of its own keys
+only; links between strings are appended. Neither is ever rewritten. (As the rest of the string is part of the key, strings
+that share a key differ in the free part of one number or date alone: no key is shared by many.)
+
+Equal strings are one entry, however many rows repeat them, so a hot act makes no hot group; strings that share a pair of
+parts are linked to the earliest of them, never to each other.
+
+Defined results: a row with fewer than two parts is never a repeat and is not indexed; a row that lost its number and one that
+lost its date are not compared (they share the figures only); a row that is repeated within the batch counts as accepted once
+the first is; ties cannot occur, as record ids are unique (of rows with an equal id one is kept); empty tables give no rows;
+other columns are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexmill.functions.registry_text import base, clean_date, clean_decision_number
 from lexmill.llm.graph import components
-from lexmill.session import written
+from lexmill.session import scratch_path, written
 
-PARTS = ("date", "number", "facts")
-PAIRS = ((0, 1), (1, 2), (0, 2))
+PARTS = ("date", "number", "figures")
+#: Greatest edit distance of two strings of one act; a mistyped part is cut into one segment more.
+EDITS = 2
+#: Partitions of the entries on disk; a parameter of the index, to be raised with its size.
+BUCKETS = 16
+#: Kinds of keys: pairs of parts, and segments of the number and of the date.
+PAIRS = {0: ("date", "number"), 1: ("date", "figures"), 2: ("number", "figures")}
+SLIPS = {3: ("number", "date"), 4: ("date", "number")}
+ENTRY = T.StructType([T.StructField(n, t) for n, t in (("kind", T.IntegerType()), ("key", T.LongType()), *((p, T.StringType()) for p in PARTS), ("first", T.LongType()), ("bucket", T.IntegerType()))])
+LINK = "a long, b long"
 
 
-def facts_of(summary: Column) -> Column:
-    """Days and contracts that a summary counts, ``316.36``: they stay when sentences move, change words or go. Null where it counts none."""
-    p = r"([0-9]+) дн[а-яіїєґ]* і [а-яіїєґ]+ ([0-9]+) (?:дог|уг)"
+def figures_of(summary: Column) -> Column:
+    """The figures of the sentence that holds the most (the first of equals), in order: ``316.36``. Null where there is none."""
 
     def read(t: Column) -> Column:
-        hit = F.regexp_extract(t, p, 1)
-        return F.when(hit != "", F.concat_ws(".", hit, F.regexp_extract(t, p, 2)))
+        sentences = F.transform(F.split(t, r"[.!?](?=\s|$)"), lambda s: F.regexp_extract_all(s, F.lit(r"(\d+)"), F.lit(1)))
+        most = F.aggregate(sentences, F.array().cast("array<string>"), lambda a, b: F.when(F.size(b) > F.size(a), b).otherwise(a))
+        return F.when(F.size(most) > 0, F.array_join(most, "."))
 
-    # the text as it stands first: the foldings are only needed where it holds other characters there
-    return F.coalesce(read(summary), read(F.lower(base(summary))))
+    # digits of other kinds are folded only where there are any
+    return F.when(summary.rlike(r"[\p{Nd}\p{No}&&[^0-9]]"), read(base(summary))).otherwise(read(summary))
 
 
 def act_parts(df: DataFrame, rec: str = "rec_id", number: str = "decision_number", date: str = "decision_date", summary: str = "violation_summary") -> DataFrame:
-    """``rec, date, number, facts`` of each record."""
+    """``rec, date, number, figures`` of each record."""
     q = lambda c: F.col(f"`{c}`")
-    return df.select(q(rec).alias("rec"), clean_date(q(date)).alias("date"), clean_decision_number(q(number)).alias("number"), facts_of(q(summary)).alias("facts"))
+    return df.select(q(rec).alias("rec"), clean_date(q(date)).alias("date"), clean_decision_number(q(number)).alias("number"), figures_of(q(summary)).alias("figures"))
 
 
 def strings(parts: DataFrame) -> DataFrame:
@@ -56,78 +76,130 @@ def strings(parts: DataFrame) -> DataFrame:
     return parts.filter(n >= 2).groupBy(*PARTS).agg(F.min("rec").alias("first"))
 
 
-def segments(strs: DataFrame) -> DataFrame:
-    """The index entries of strings: ``position`` of the pair, ``lengths``, the two texts ``x, y``, and the string."""
-    entry = [
-        F.when(F.col(PARTS[i]).isNotNull() & F.col(PARTS[j]).isNotNull(), F.struct(F.lit(k).alias("position"), F.concat_ws(",", F.length(PARTS[i]), F.length(PARTS[j])).alias("lengths"), F.col(PARTS[i]).alias("x"), F.col(PARTS[j]).alias("y")))
-        for k, (i, j) in enumerate(PAIRS)
-    ]
-    return strs.withColumn("_e", F.explode(F.filter(F.array(*entry), lambda e: e.isNotNull()))).select("_e.*", *PARTS, "first")
+# -- segments and probes ----------------------------------------------------------------------------------
+
+
+def cut(length: Column, i: Column, segments: int) -> tuple[Column, Column]:
+    """Start (from 1) and length of segment ``i`` (from 1) of a text of ``length`` in even segments, the longer ones last."""
+    size, short = F.floor(length / segments).cast("int"), F.lit(segments) - (length % segments).cast("int")
+    return F.lit(1) + (i - 1) * size + F.greatest(F.lit(0), i - 1 - short), size + F.when(i > short, 1).otherwise(0)
+
+
+def _each(strs: DataFrame, **values: list[int]) -> DataFrame:
+    """Each whole string for each kind of slip and each combination of ``values``: ``part`` (the one that may be mistyped), ``rest`` and its length ``n``."""
+    rows = [()]
+    for v in ({"kind": list(SLIPS)} | values).values():
+        rows = [(*r, x) for r in rows for x in v]
+    names = ["kind", *values]
+    literal = F.array(*[F.struct(*[F.lit(x).alias(c) for c, x in zip(names, r)]) for r in rows])
+    out = strs.filter(reduce(lambda a, b: a & b, [F.col(p).isNotNull() for p in PARTS])).select(*PARTS, "first", F.explode(literal).alias("_v")).select(*PARTS, "first", "_v.*")
+    pick = lambda at: reduce(lambda e, k: e.when(F.col("kind") == k, F.col(SLIPS[k][at])), list(SLIPS)[1:], F.when(F.col("kind") == list(SLIPS)[0], F.col(SLIPS[list(SLIPS)[0]][at])))
+    return out.withColumn("part", pick(0)).withColumn("rest", pick(1)).withColumn("n", F.length("part"))
+
+
+def _keyed(rows: DataFrame, buckets: int) -> DataFrame:
+    """Rows with ``i, m, text`` (number of the segment, length of the indexed part, the segment) as entries."""
+    key = F.xxhash64("kind", "rest", "figures", "m", "i", "text")
+    return _bucketed(rows.select("kind", key.alias("key"), *PARTS, "first"), buckets)
+
+
+def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
+    return rows.withColumn("bucket", F.pmod("key", F.lit(buckets)).cast("int"))
 
 
-SEGMENT = ("position", "lengths", "x", "y")
+def segments(strs: DataFrame, edits: int = EDITS, buckets: int = BUCKETS) -> DataFrame:
+    """Entries of the segments of each whole string's number and date, each with the rest of the string."""
+    rows = _each(strs, i=list(range(1, edits + 2))).filter(F.col("n") > edits)
+    return _keyed(rows.withColumn("m", F.col("n")).withColumn("text", F.substring(F.col("part"), *cut(F.col("n"), F.col("i"), edits + 1))), buckets)
 
 
-def lookup(index: DataFrame, batch: DataFrame) -> DataFrame:
-    """The part of the index that shares a segment pair with the batch: nothing else of the history is touched."""
-    return index.join(batch.select(*SEGMENT), list(SEGMENT), "left_semi")
+def probes(strs: DataFrame, edits: int = EDITS, buckets: int = BUCKETS) -> DataFrame:
+    """Entries to look up: the substrings of each whole string that can match a segment of a string within ``edits`` of it."""
+    rows = _each(strs, delta=list(range(-edits, edits + 1)), i=list(range(1, edits + 2))).withColumn("m", F.col("n") - F.col("delta")).filter(F.col("m") > edits)
+    start, size = cut(F.col("m"), F.col("i"), edits + 1)
+    rows = rows.withColumn("start", start).withColumn("size", size)
+    before, after = F.col("i") - 1, F.lit(edits + 1) - F.col("i")
+    low = F.greatest(F.col("start") - before, F.col("start") + F.col("delta") - after, F.lit(1))
+    high = F.least(F.col("start") + before, F.col("start") + F.col("delta") + after, F.col("n") - F.col("size") + 1)
+    rows = rows.withColumn("low", low).withColumn("high", high).filter("low <= high").withColumn("at", F.explode(F.sequence("low", "high")))
+    return _keyed(rows.withColumn("text", F.substring(F.col("part"), F.col("at"), F.col("size"))), buckets)
 
 
-def links(entries: DataFrame) -> DataFrame:
-    """Verified links ``a, b`` (``first`` of two strings) among entries.
+def pairs(strs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Entries of the pairs of parts that each string has."""
+    each = F.array(*[F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), F.struct(F.lit(k).alias("kind"), F.xxhash64(F.lit(k), x, y).alias("key"))) for k, (x, y) in PAIRS.items()])
+    rows = strs.select(F.explode(F.array_compact(each)).alias("_e"), *PARTS, "first").select("_e.*", *PARTS, "first")
+    return _bucketed(rows, buckets)
 
-    Within a segment pair the strings are distinct; they are sorted so that what may be one act stands
-    together, and each is verified against the one before it and the first of its subgroup, so no group is
-    expanded into pairs. A string that lost a part is linked to the earliest full one of its pair.
+
+# -- links ------------------------------------------------------------------------------------------------
+
+
+def slips(looked_up: DataFrame, near: DataFrame, edits: int = EDITS) -> DataFrame:
+    """Verified links ``a, b`` between the strings of a batch and strings that are a mistyped part apart."""
+    p, e = looked_up.alias("p"), near.alias("e")
+    met = p.join(e, (F.col("p.key") == F.col("e.key")) & (F.col("p.kind") == F.col("e.kind")) & (F.col("p.figures") == F.col("e.figures")) & (F.col("p.first") != F.col("e.first")))
+    same = [(F.col("p.kind") == k) & (F.col(f"p.{rest}") == F.col(f"e.{rest}")) & (F.levenshtein(F.col(f"p.{part}"), F.col(f"e.{part}"), edits) >= 0) for k, (part, rest) in SLIPS.items()]
+    return met.filter(same[0] | same[1]).select(F.col("p.first").alias("a"), F.col("e.first").alias("b")).distinct()
+
+
+def shared_pairs(near: DataFrame) -> DataFrame:
+    """Links ``a, b`` of entries that share a pair of parts (``new`` tells those of the batch).
+
+    Date and number: every string to the earliest. A pair with the figures: strings without the third part to the earliest string
+    that has it, or to the earliest of themselves. The earliest ones are aggregates, so no group is expanded into pairs.
     """
-    pos = F.col("position")
-    other = F.when(pos == 0, F.lit(None)).when(pos == 1, F.col("date")).otherwise(F.col("number"))
-    # what a mistyped part keeps: the day of a date, the digits and the letters of a number
-    kept = F.when(pos == 1, F.substring("date", 6, 5)).when(pos == 2, F.concat_ws("", F.array_sort(F.split("number", ""))))
-    e = entries.withColumn("_other", other).withColumn("_kept", kept)
-    sub = Window.partitionBy(*SEGMENT, "_kept").orderBy("_other", "first")
-    whole = Window.partitionBy(*SEGMENT).orderBy(F.col("_other").isNull(), "first")
-    # the wider window first: the narrower one then needs no shuffle of its own
-    e = (
-        e.withColumn("_top", F.first("first").over(whole))
-        .withColumn("_before", F.lag(F.struct("_other", "first")).over(sub))
-        .withColumn("_head", F.first(F.struct("_other", "first")).over(sub))
-    )
-    full = F.col("_other").isNotNull()
-
-    def near(c: str) -> Column:
-        o = F.col(f"{c}._other")
-        years = F.abs(F.substring("_other", 1, 4).cast("int") - F.substring(o, 1, 4).cast("int"))
-        return full & o.isNotNull() & (F.levenshtein("_other", o, 2) >= 0) & ((pos == 2) | (years <= 1))
-
-    to = F.array(
-        F.when((pos == 0) | ~full, F.col("_top")),
-        F.when((pos > 0) & near("_before"), F.col("_before.first")),
-        F.when((pos > 0) & near("_head"), F.col("_head.first")),
-    )
-    return e.select(F.col("first").alias("a"), F.explode(F.array_distinct(F.array_compact(to))).alias("b")).filter("a <> b")
+    k = F.col("kind")
+    x = F.when(k == 2, F.col("number")).otherwise(F.col("date"))
+    y = F.when(k == 0, F.col("number")).otherwise(F.col("figures"))
+    full = F.when(k == 1, F.col("number").isNotNull()).when(k == 2, F.col("date").isNotNull()).otherwise(F.lit(True))
+    rows = near.filter(k <= 2).select("kind", x.alias("x"), y.alias("y"), full.alias("full"), (k == 0).alias("all"), "first", "new")
+    least = lambda c: F.min(F.when(c, F.col("first")))
+    g = rows.groupBy("kind", "x", "y").agg(least(F.col("full")).alias("full_first"), least(~F.col("full")).alias("lost_first"), least(~F.col("new") & (F.col("all") | ~F.col("full"))).alias("old"))
+    g = g.withColumn("top", F.coalesce("full_first", "lost_first"))
+    mine = rows.filter("new and (all or not full)").select("kind", "x", "y", "first").join(g, ["kind", "x", "y"]).select(F.col("first").alias("a"), F.col("top").alias("b"))
+    return mine.unionByName(g.select(F.col("old").alias("a"), F.col("top").alias("b"))).filter("a <> b").distinct()
 
 
 class SegmentIndex:
-    """Accepted strings by segment, as tables in the shared folder; batches are judged and appended one after the other."""
+    """Accepted strings by segment, in a folder that outlives the run; batches are judged and appended one after the other."""
+
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = BUCKETS):
+        """``path``: folder of the index (an existing one is opened); by default a new one in the shared scratch folder."""
+        self.spark, self.buckets = spark, buckets
+        self.path = path or scratch_path(spark, "segment-index")
+
+    def _read(self, name: str, schema) -> DataFrame:
+        jvm = self.spark.sparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        there = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}") if there else self.spark.createDataFrame([], schema)
+
+    def entries(self, of: list[int] | None = None) -> DataFrame:
+        """All entries, or those of some buckets: a filter on the folders, so nothing else is read."""
+        e = self._read("entries", ENTRY)
+        return e if of is None else e.filter(F.col("bucket").isin(of))
 
-    def __init__(self, history: DataFrame):
-        """``history``: parts (see :func:`act_parts`) of what was accepted before there was an index."""
-        self.entries = written(segments(strings(history)), "segments")
-        self.links = written(links(self.entries), "act-links")
+    def links(self) -> DataFrame:
+        return self._read("links", LINK)
 
     def accept(self, batch: DataFrame) -> None:
-        """Find the links of a batch to the index and within itself, then append its segments."""
-        new = written(segments(strings(batch)), "segments")
-        near = lookup(self.entries, new).unionByName(new)
-        self.links = self.links.unionByName(written(links(near), "act-links"))
-        self.entries = self.entries.unionByName(new)
+        """Find the links of a batch (see :func:`act_parts`) to the index and within itself, then append both."""
+        strs = written(strings(batch), "strings")
+        shared, asked = pairs(strs, self.buckets), probes(strs, buckets=self.buckets)
+        own = shared.unionByName(segments(strs, buckets=self.buckets))
+        keys = shared.unionByName(asked).select("key", "bucket")
+        of = sorted(r.bucket for r in keys.select("bucket").distinct().collect())  # at most ``buckets`` numbers
+        known = self.entries(of).join(keys.select("key"), "key", "left_semi").withColumn("new", F.lit(False))
+        near = known.unionByName(own.withColumn("new", F.lit(True)))
+        shared_pairs(near).unionByName(slips(asked, near)).write.mode("append").parquet(f"{self.path}/links")
+        own.repartition(self.buckets, "bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/entries")
 
     def acts(self) -> DataFrame:
-        """``date, number, facts, act``: the least record of the act of each string."""
-        roots = components(self.links)
-        strs = self.entries.groupBy(*PARTS).agg(F.min("first").alias("least"), F.collect_set("first").alias("_all"))
-        return strs.withColumn("first", F.explode("_all")).join(roots, F.col("first") == F.col("node"), "left").groupBy(*PARTS).agg(F.min(F.coalesce("root", "least")).alias("act"))
+        """``date, number, figures, act``: the least record of the act of each string."""
+        roots = components(self.links())
+        strs = self.entries().filter("kind <= 2").select(*PARTS, "first").distinct()
+        return strs.join(roots, F.col("first") == F.col("node"), "left").groupBy(*PARTS).agg(F.min(F.coalesce("root", "first")).alias("act"))
 
     def repeats(self, batch: DataFrame) -> DataFrame:
         """``rec_id_first, rec_id_dup`` of the rows of accepted batches whose act has an earlier record."""

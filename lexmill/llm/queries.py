@@ -26,9 +26,11 @@ def p2_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals = table(spark, sf_dir, "practice_batches")
-    index = inc.SegmentIndex(inc.act_parts(table(spark, sf_dir, "practice")))
+    index = inc.SegmentIndex(spark)
+    index.accept(inc.act_parts(table(spark, sf_dir, "practice")))
     for row in arrivals.select("batch_no").distinct().orderBy("batch_no").collect():
-        index.accept(inc.act_parts(arrivals.filter(F.col("batch_no") == row.batch_no)))
+        # each batch opens the index anew, as it would days later
+        inc.SegmentIndex(spark, index.path).accept(inc.act_parts(arrivals.filter(F.col("batch_no") == row.batch_no)))
     return index.repeats(inc.act_parts(arrivals))
 
 
