@@ -16,7 +16,7 @@ selection for edit distance, for all lengths within ``EDITS``), verifies what it
 its own segments. One of ``EDITS + 1`` segments is always left unedited, so no pair within the bound is missed.
 
 The index is kept in a folder: entries partitioned by a hash of their key, of which a batch reads the partitions of its own keys
-only; links between strings are appended. Neither is ever rewritten. (As the rest of the string is part of the key, strings
+only; strings and the links between them are appended. Nothing is ever rewritten. (As the rest of the string is part of the key, strings
 that share a key differ in the free part of one number or date alone: no key is shared by many.)
 
 Equal strings are one entry, however many rows repeat them, so a hot act makes no hot group; strings that share a pair of
@@ -34,7 +34,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lexmill.functions.registry_text import base, clean_date, clean_decision_number
 from lexmill.llm.graph import components
@@ -48,8 +47,7 @@ BUCKETS = 16
 #: Kinds of keys: pairs of parts, and segments of the number and of the date.
 PAIRS = {0: ("date", "number"), 1: ("date", "figures"), 2: ("number", "figures")}
 SLIPS = {3: ("number", "date"), 4: ("date", "number")}
-ENTRY = T.StructType([T.StructField(n, t) for n, t in (("kind", T.IntegerType()), ("key", T.LongType()), *((p, T.StringType()) for p in PARTS), ("first", T.LongType()), ("bucket", T.IntegerType()))])
-LINK = "a long, b long"
+ENTRY = "kind int, key long, part string, first long, bucket int"
 
 
 def figures_of(summary: Column) -> Column:
@@ -92,30 +90,34 @@ def _each(strs: DataFrame, **values: list[int]) -> DataFrame:
         rows = [(*r, x) for r in rows for x in v]
     names = ["kind", *values]
     literal = F.array(*[F.struct(*[F.lit(x).alias(c) for c, x in zip(names, r)]) for r in rows])
-    out = strs.filter(reduce(lambda a, b: a & b, [F.col(p).isNotNull() for p in PARTS])).select(*PARTS, "first", F.explode(literal).alias("_v")).select(*PARTS, "first", "_v.*")
-    pick = lambda at: reduce(lambda e, k: e.when(F.col("kind") == k, F.col(SLIPS[k][at])), list(SLIPS)[1:], F.when(F.col("kind") == list(SLIPS)[0], F.col(SLIPS[list(SLIPS)[0]][at])))
+    whole = reduce(lambda a, b: a & b, [F.col(p).isNotNull() for p in PARTS])
+    out = strs.filter(whole).select(*PARTS, "first", F.explode(literal).alias("_v")).select(*PARTS, "first", "_v.*")
+    pick = lambda at: F.when(F.col("kind") == 3, F.col(SLIPS[3][at])).otherwise(F.col(SLIPS[4][at]))
     return out.withColumn("part", pick(0)).withColumn("rest", pick(1)).withColumn("n", F.length("part"))
 
 
-def _keyed(rows: DataFrame, buckets: int) -> DataFrame:
-    """Rows with ``i, m, text`` (number of the segment, length of the indexed part, the segment) as entries."""
-    key = F.xxhash64("kind", "rest", "figures", "m", "i", "text")
-    return _bucketed(rows.select("kind", key.alias("key"), *PARTS, "first"), buckets)
-
-
 def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
     return rows.withColumn("bucket", F.pmod("key", F.lit(buckets)).cast("int"))
 
 
+def _keyed(rows: DataFrame, buckets: int) -> DataFrame:
+    """Rows with ``i, m, text`` (number of the segment, length of the indexed part, the segment) as entries."""
+    return _bucketed(rows.select("kind", F.xxhash64("kind", "rest", "figures", "m", "i", "text").alias("key"), "part", "first"), buckets)
+
+
 def segments(strs: DataFrame, edits: int = EDITS, buckets: int = BUCKETS) -> DataFrame:
-    """Entries of the segments of each whole string's number and date, each with the rest of the string."""
+    """Entries of the segments of each whole string's number and date, each with the rest of the string in its key."""
     rows = _each(strs, i=list(range(1, edits + 2))).filter(F.col("n") > edits)
     return _keyed(rows.withColumn("m", F.col("n")).withColumn("text", F.substring(F.col("part"), *cut(F.col("n"), F.col("i"), edits + 1))), buckets)
 
 
-def probes(strs: DataFrame, edits: int = EDITS, buckets: int = BUCKETS) -> DataFrame:
-    """Entries to look up: the substrings of each whole string that can match a segment of a string within ``edits`` of it."""
-    rows = _each(strs, delta=list(range(-edits, edits + 1)), i=list(range(1, edits + 2))).withColumn("m", F.col("n") - F.col("delta")).filter(F.col("m") > edits)
+def probes(strs: DataFrame, edits: int = EDITS, buckets: int = BUCKETS, shorter: bool = False) -> DataFrame:
+    """Entries to look up: the substrings of each whole string that can match a segment of a string within ``edits`` of it.
+
+    Clean dates have one length. ``shorter``: only segments of strings that are not longer, enough where strings are compared among themselves.
+    """
+    rows = _each(strs, delta=list(range(0 if shorter else -edits, edits + 1)), i=list(range(1, edits + 2))).filter("kind = 3 or delta = 0")
+    rows = rows.withColumn("m", F.col("n") - F.col("delta")).filter(F.col("m") > edits)
     start, size = cut(F.col("m"), F.col("i"), edits + 1)
     rows = rows.withColumn("start", start).withColumn("size", size)
     before, after = F.col("i") - 1, F.lit(edits + 1) - F.col("i")
@@ -126,38 +128,35 @@ def probes(strs: DataFrame, edits: int = EDITS, buckets: int = BUCKETS) -> DataF
 
 
 def pairs(strs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """Entries of the pairs of parts that each string has."""
-    each = F.array(*[F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), F.struct(F.lit(k).alias("kind"), F.xxhash64(F.lit(k), x, y).alias("key"))) for k, (x, y) in PAIRS.items()])
-    rows = strs.select(F.explode(F.array_compact(each)).alias("_e"), *PARTS, "first").select("_e.*", *PARTS, "first")
-    return _bucketed(rows, buckets)
+    """Entries of the pairs of parts that each string has; ``part`` is the third one (for date and number, which are enough, the number)."""
+    third = {0: "number", 1: "number", 2: "date"}
+    each = F.array(*[F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), F.struct(F.lit(k).alias("kind"), F.xxhash64(F.lit(k), x, y).alias("key"), F.col(third[k]).alias("part"))) for k, (x, y) in PAIRS.items()])
+    return _bucketed(strs.select(F.explode(F.array_compact(each)).alias("_e"), "first").select("_e.*", "first"), buckets)
 
 
 # -- links ------------------------------------------------------------------------------------------------
+# Keys are 64-bit hashes of the kind and all that must be equal; what may differ is verified.
 
 
 def slips(looked_up: DataFrame, near: DataFrame, edits: int = EDITS) -> DataFrame:
     """Verified links ``a, b`` between the strings of a batch and strings that are a mistyped part apart."""
     p, e = looked_up.alias("p"), near.alias("e")
-    met = p.join(e, (F.col("p.key") == F.col("e.key")) & (F.col("p.kind") == F.col("e.kind")) & (F.col("p.figures") == F.col("e.figures")) & (F.col("p.first") != F.col("e.first")))
-    same = [(F.col("p.kind") == k) & (F.col(f"p.{rest}") == F.col(f"e.{rest}")) & (F.levenshtein(F.col(f"p.{part}"), F.col(f"e.{part}"), edits) >= 0) for k, (part, rest) in SLIPS.items()]
-    return met.filter(same[0] | same[1]).select(F.col("p.first").alias("a"), F.col("e.first").alias("b")).distinct()
+    met = p.join(e, (F.col("p.key") == F.col("e.key")) & (F.col("p.kind") == F.col("e.kind")) & (F.col("p.first") != F.col("e.first")))
+    return met.filter(F.levenshtein("p.part", "e.part", edits) >= 0).select(F.col("p.first").alias("a"), F.col("e.first").alias("b")).distinct()
 
 
 def shared_pairs(near: DataFrame) -> DataFrame:
-    """Links ``a, b`` of entries that share a pair of parts (``new`` tells those of the batch).
+    """Links ``a, b`` of pair entries that share their key (``new`` tells those of the batch).
 
     Date and number: every string to the earliest. A pair with the figures: strings without the third part to the earliest string
     that has it, or to the earliest of themselves. The earliest ones are aggregates, so no group is expanded into pairs.
     """
-    k = F.col("kind")
-    x = F.when(k == 2, F.col("number")).otherwise(F.col("date"))
-    y = F.when(k == 0, F.col("number")).otherwise(F.col("figures"))
-    full = F.when(k == 1, F.col("number").isNotNull()).when(k == 2, F.col("date").isNotNull()).otherwise(F.lit(True))
-    rows = near.filter(k <= 2).select("kind", x.alias("x"), y.alias("y"), full.alias("full"), (k == 0).alias("all"), "first", "new")
+    full = F.col("part").isNotNull()
+    rows = near.select("key", full.alias("full"), ((F.col("kind") == 0) | ~full).alias("ties"), "first", "new")
     least = lambda c: F.min(F.when(c, F.col("first")))
-    g = rows.groupBy("kind", "x", "y").agg(least(F.col("full")).alias("full_first"), least(~F.col("full")).alias("lost_first"), least(~F.col("new") & (F.col("all") | ~F.col("full"))).alias("old"))
-    g = g.withColumn("top", F.coalesce("full_first", "lost_first"))
-    mine = rows.filter("new and (all or not full)").select("kind", "x", "y", "first").join(g, ["kind", "x", "y"]).select(F.col("first").alias("a"), F.col("top").alias("b"))
+    g = rows.groupBy("key").agg(least(F.col("full")).alias("full_first"), least(~F.col("full")).alias("lost_first"), least(~F.col("new") & F.col("ties")).alias("old"), F.count_if("ties").alias("tied"), F.count("*").alias("n"))
+    g = g.filter("tied > 0 and n > 1").select("key", F.coalesce("full_first", "lost_first").alias("top"), "old")
+    mine = rows.filter("new and ties").select("key", "first").join(g, "key").select(F.col("first").alias("a"), F.col("top").alias("b"))
     return mine.unionByName(g.select(F.col("old").alias("a"), F.col("top").alias("b"))).filter("a <> b").distinct()
 
 
@@ -169,36 +168,37 @@ class SegmentIndex:
         self.spark, self.buckets = spark, buckets
         self.path = path or scratch_path(spark, "segment-index")
 
-    def _read(self, name: str, schema) -> DataFrame:
-        jvm = self.spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+    def _read(self, name: str, schema: str) -> DataFrame | None:
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         there = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}") if there else self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}") if there else None
 
-    def entries(self, of: list[int] | None = None) -> DataFrame:
-        """All entries, or those of some buckets: a filter on the folders, so nothing else is read."""
+    def entries(self, of: list[int] | None = None) -> DataFrame | None:
+        """All entries, or those of some buckets: a filter on the folders, so nothing else is read. None before the first batch."""
         e = self._read("entries", ENTRY)
-        return e if of is None else e.filter(F.col("bucket").isin(of))
-
-    def links(self) -> DataFrame:
-        return self._read("links", LINK)
+        return e if e is None or of is None else e.filter(F.col("bucket").isin(of))
 
     def accept(self, batch: DataFrame) -> None:
-        """Find the links of a batch (see :func:`act_parts`) to the index and within itself, then append both."""
+        """Find the links of a batch (see :func:`act_parts`) to the index and within itself, then append it."""
         strs = written(strings(batch), "strings")
-        shared, asked = pairs(strs, self.buckets), probes(strs, buckets=self.buckets)
-        own = shared.unionByName(segments(strs, buckets=self.buckets))
-        keys = shared.unionByName(asked).select("key", "bucket")
-        of = sorted(r.bucket for r in keys.select("bucket").distinct().collect())  # at most ``buckets`` numbers
-        known = self.entries(of).join(keys.select("key"), "key", "left_semi").withColumn("new", F.lit(False))
-        near = known.unionByName(own.withColumn("new", F.lit(True)))
-        shared_pairs(near).unionByName(slips(asked, near)).write.mode("append").parquet(f"{self.path}/links")
+        own = written(pairs(strs, self.buckets).unionByName(segments(strs, buckets=self.buckets)), "entries")
+        held = self.entries()
+        asked = probes(strs, buckets=self.buckets, shorter=held is None)
+        shared = own.filter("kind <= 2").withColumn("new", F.lit(True))
+        segs = own.filter("kind > 2")
+        if held is not None:
+            of = sorted(r.bucket for r in own.select("bucket").unionByName(asked.select("bucket")).distinct().collect())  # at most ``buckets`` numbers
+            held = self.entries(of)
+            shared = shared.unionByName(held.filter("kind <= 2").join(shared.select("key"), "key", "left_semi").withColumn("new", F.lit(False)))
+            segs = segs.unionByName(held.filter("kind > 2"))
+        shared_pairs(shared).unionByName(slips(asked, segs)).write.mode("append").parquet(f"{self.path}/links")
         own.repartition(self.buckets, "bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/entries")
+        strs.write.mode("append").parquet(f"{self.path}/strings")
 
     def acts(self) -> DataFrame:
         """``date, number, figures, act``: the least record of the act of each string."""
-        roots = components(self.links())
-        strs = self.entries().filter("kind <= 2").select(*PARTS, "first").distinct()
+        roots = components(self._read("links", "a long, b long"))
+        strs = self._read("strings", "date string, number string, figures string, first long")
         return strs.join(roots, F.col("first") == F.col("node"), "left").groupBy(*PARTS).agg(F.min(F.coalesce("root", "first")).alias("act"))
 
     def repeats(self, batch: DataFrame) -> DataFrame:

@@ -107,6 +107,8 @@ def test_slips_equal_brute_force(spark, edits):
     strs = spark.createDataFrame([("2020-01-01", n, "5.5", i) for i, n in enumerate(sorted(numbers))], "date string, number string, figures string, first long")
     near = inc.segments(strs, edits)
     got = {(x.a, x.b) for x in inc.slips(inc.probes(strs, edits), near, edits).collect()}
+    half = {frozenset((x.a, x.b)) for x in inc.slips(inc.probes(strs, edits, shorter=True), near, edits).collect()}
+    assert half == {frozenset(x) for x in got}
     ns = sorted(numbers)
     assert got == {(i, j) for i, a in enumerate(ns) for j, b in enumerate(ns) if i != j and distance(a, b) <= edits}
 
