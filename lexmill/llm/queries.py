@@ -54,21 +54,21 @@ def p6_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode_corpus(p6_ids(spark, sf_dir), "doc_id", "ids", f"{bpe.TOKENIZERS}/{bpe.VOCABULARY}")
 
 
-def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+def _leaks(spark: SparkSession, sf_dir: str, detail: bool) -> DataFrame:
+    return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), detail=detail)
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _leaks(spark, sf_dir).select("doc_id", "item_id")
+    return _leaks(spark, sf_dir, False).select("doc_id", "item_id")
 
 
 def p7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _leaks(spark, sf_dir)
+    return _leaks(spark, sf_dir, True)
 
 
 def p7_clean_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return leakage.without_leaks(docs.select("doc_id", "lang", "source"), _leaks(spark, sf_dir))
+    return leakage.without_leaks(docs, _leaks(spark, sf_dir, False))
 
 
 def _models(docs: DataFrame) -> langid.Models:
