@@ -196,32 +196,39 @@ def chain(doc: np.ndarray, item: np.ndarray) -> tuple[int, int, int, int]:
     One row for each word of the item over all places of the document; only the rows a gap can reach back to are kept.
     """
     n, mask = len(doc), (1 << 24) - 1
-    run, value = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)  # of matches that end at a place (from 1); value: words, then the earliest start
+    order = np.argsort(doc, kind="stable")
+    low, high = np.searchsorted(doc, item, "left", order), np.searchsorted(doc, item, "right", order)
+    none = np.zeros(n + 1, np.int64)
+    run = value = none  # of matches that end at a place (from 1); value: words, then the earliest start
     past: list[np.ndarray] = []
     best, end, longest = 0, 0, 0
-    for j, w in enumerate(item):
-        equal = np.flatnonzero(doc == w)
-        now, worth = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
-        now[equal + 1] = run[equal] + 1
-        more = equal[run[equal] >= SEED] + 1
-        worth[more] = value[more - 1] + (mask + 1)
-        begun = equal[run[equal] == SEED - 1] + 1
-        if len(begun):
-            top = np.full(len(begun), mask - (j - SEED + 1), np.int64)
-            for gb in range(min(GAP + 1, max(0, len(past) - SEED + 1))):
-                row = past[len(past) - SEED - gb] if len(past) - SEED - gb >= 0 else None
-                for ga in range(max(0, gb - DRIFT), min(GAP, gb + DRIFT) + 1) if row is not None else ():
-                    at = begun - SEED - ga
-                    top = np.maximum(top, np.where(at > 0, row[np.maximum(at, 0)], 0))
-            worth[begun] = top + SEED * (mask + 1)
-        run, value = now, worth
-        past.append(worth)
+    for j in range(len(item)):
+        if low[j] == high[j]:
+            run = value = none
+        else:
+            at = order[low[j] : high[j]] + 1
+            before = run[at - 1]
+            now, worth = np.zeros(n + 1, np.int64), none
+            now[at] = before + 1
+            longest = max(longest, int(before.max()) + 1)
+            begun, more = at[before == SEED - 1], at[before >= SEED]
+            if len(begun) or len(more):
+                worth = np.zeros(n + 1, np.int64)
+                worth[more] = value[more - 1] + (mask + 1)
+                if len(begun):
+                    top = np.full(len(begun), mask - (j - SEED + 1), np.int64)
+                    for gb in range(min(GAP + 1, max(0, len(past) - SEED + 1))):
+                        row = past[len(past) - SEED - gb] if len(past) - SEED - gb >= 0 else none
+                        if row is not none:
+                            for ga in range(max(0, gb - DRIFT), min(GAP, gb + DRIFT) + 1):
+                                top = np.maximum(top, row[np.maximum(begun - SEED - ga, 0)])
+                    worth[begun] = top + SEED * (mask + 1)
+                if (m := int(worth[np.concatenate((begun, more))].max())) >> 24 > best >> 24:
+                    best, end = m, j
+            run, value = now, worth
+        past.append(value)
         if len(past) > SEED + GAP + 1:
             past.pop(0)
-        if len(equal):
-            longest = max(longest, int(now.max()))
-            if (m := int(worth.max())) >> 24 > best >> 24:
-                best, end = m, j
     first = mask - (best & mask)
     return best >> 24, longest, first if best else 0, end - first + 1 if best else 0
 
