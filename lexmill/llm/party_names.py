@@ -53,6 +53,10 @@ _WORD = re.compile(r"[^\W\d_]+|\d+")
 _PLACE = re.compile(r"\(\s*(?:м|місто|смт|с)\.?\s*([^)]*)\)")
 _APOSTROPHE = re.compile("(?<=[^\\W\\d_])['’‘ʼ`´](?=[^\\W\\d_])")
 _QUOTES = re.compile("[«»“”„\"'‘’`]")
+_QUOTED = re.compile("^\\s*([^«“„\"‘'’]*[^\\W\\d_][^«“„\"‘'’]*?)\\s*[«“„\"‘'’](?=[^\\W_])")
+_PATRONYMIC = re.compile(r"(?:ович|евич|івна|овна|евна|ічна|кіч|міч|ліч)$")
+#: Most words of a person's name.
+PERSON_WORDS = 5
 _GLUED = re.compile(r"^(ПрАТ|ТОВ|ООО|ПАТ|ПАО|ЧАО|ФОП|ПП|ЧП|ДП|ГП|КП)(?:['’‘`]|(?=[А-ЯІЇЄҐ][а-яіїєґ]))")
 
 
@@ -156,8 +160,37 @@ def place_key(place: str) -> str:
     return "".join(cyrillic(w) for w in _WORD.findall(_APOSTROPHE.sub("", place.lower())))
 
 
-def read(name: str | None) -> Party:
-    """Parts of a name; the null, empty or anonymous name has none."""
+def _unknown_form(text: str) -> tuple[str, ...]:
+    """Words before a quoted name that are no known form or business: a form that no list has (a concern, a fund, a farm)."""
+    m = _QUOTED.match(text)
+    words = [cyrillic(w) for w in _WORD.findall(_APOSTROPHE.sub("", m[1]).lower())] if m else []
+    rest = list(words)
+    forms, business, _, _ = _phrases()
+    while rest and (_take(rest, forms, True) or _take(rest, business, True)):
+        pass
+    return tuple(words) if words and rest == words else ()
+
+
+def is_person(words: list[str]) -> bool:
+    """Words with a given name, an initial or a patronymic among them."""
+    if not 2 <= len(words) <= PERSON_WORDS:
+        return False
+    short, given = _phrases()[2], _given()
+    return any(len(w) == 1 and w.isalpha() or w in given or w in short or _PATRONYMIC.search(w) or len(w) > 3 and any(near(w, g) for g in given) for w in words)
+
+
+def _unglued(words: list[str]) -> list[str]:
+    """A form typed onto the word after it, where that word is a kind of business."""
+    forms, business, _, _ = _phrases()
+    starts = {k[0] for k in business}
+    for n in range(2, len(words[0]) - 1) if words else ():
+        if words[0][:n] in {k[0] for k in forms if len(k) == 1} and words[0][n:] in starts:
+            return [words[0][:n], words[0][n:], *words[1:]]
+    return words
+
+
+def read(name: str | None, learned: frozenset[str] = frozenset()) -> Party:
+    """Parts of a name; the null, empty or anonymous name has none. ``learned``: further additions (see :func:`tails`)."""
     if not name:
         return EMPTY
     text = _plain()(name)
@@ -166,14 +199,18 @@ def read(name: str | None) -> Party:
     if m:
         place = place_key(m[1])
         text = text[: m.start()] + " " + text[m.end() :]
+    unknown = _unknown_form(_APOSTROPHE.sub("", text))
     text = _APOSTROPHE.sub("", _GLUED.sub(r"\1 ", text.strip()))
     text = _GLUED.sub(r"\1 ", _QUOTES.sub(" ", text).strip())
-    words = [cyrillic(w) for w in _WORD.findall(text.lower())]
+    words = _unglued([cyrillic(w) for w in _WORD.findall(text.lower())])
     forms, business, _, additions = _phrases()
+    additions = additions | learned
     form = _take(words, forms, True)
     if not words or words[0].startswith(("особа", "інформація", "назва")):
         return EMPTY
-    if form == "фоп" or not form:
+    if not form and unknown and len(words) > len(unknown):
+        form, words = " ".join(unknown), words[len(unknown) :]
+    elif form == "фоп" or not form and is_person(words):
         words = person(words)
         return Party("person", "", "", words, "", place) if words else EMPTY
     line = _take(words, business, False)
@@ -186,3 +223,10 @@ def read(name: str | None) -> Party:
                 words[0], addition = words[0][: -len(a)], a
                 break
     return Party("firm", form, line, tuple(words), addition, place)
+
+
+def tails(name: str | None) -> tuple[str, str] | None:
+    """Last word of a firm's name and the word before it; what many firms share there is an addition."""
+    p = read(name)
+    words = [*p.words, *filter(None, [p.addition])] if p.kind == "firm" else []
+    return (words[-1], words[-2]) if len(words) > 1 and not words[-1].isdigit() else None

@@ -46,6 +46,10 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return name_links.pairs(table(spark, sf_dir, "party_names"), "name_id").toDF("name_id_a", "name_id_b")
 
 
+def p4_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return name_links.linked(table(spark, sf_dir, "party_names"), "name_id")
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text", f"{bpe.TOKENIZERS}/{bpe.VOCABULARY}")
 
@@ -92,6 +96,7 @@ QUERIES = {
     "p3_found": p3_found,
     "p3_links": p3_links,
     "p4_found": p4_found,
+    "p4_entities": p4_entities,
     "p6_ids": p6_ids,
     "p6_decoded": p6_decoded,
     "p7_found": p7_found,

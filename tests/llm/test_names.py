@@ -56,7 +56,7 @@ def test_index_links_equal_brute_force(spark):
     toks = spark.createDataFrame([(i, "s", w, None, None) for i, w in enumerate(sorted(words))], "node long, scope string, token string, code string, town string")
     got = {(x.a, x.b) for x in M.token_links(toks).collect()}
     ws = sorted(words)
-    assert got == {(i, j) for i in range(len(ws)) for j in range(i + 1, len(ws)) if near(ws[i], ws[j]) and min(len(ws[i]), len(ws[j])) >= M.LEAST_FUZZY}
+    assert got == {(i, j) for i in range(len(ws)) for j in range(i + 1, len(ws)) if near(ws[i], ws[j]) and min(len(ws[i]), len(ws[j])) >= M.LEAST_LETTERS}
 
 
 @settings(max_examples=200, deadline=None)
@@ -82,3 +82,77 @@ def test_parts():
     assert read("ППЧіфябевіби (м. Зеленогір)").words == ("чіфябевіби",) and read("ППЧіфябевіби (м. Зеленогір)").place == "зеленогір"
     assert read("ПрАТ Виробнича компанія Ніцижурипо 2").addition == "2"
     assert read("ФОП ОСОБА_1").kind == "" and read(None).kind == ""
+
+
+def linked(spark, *names):
+    df = spark.createDataFrame([(i, n, None, None, None) for i, n in enumerate(names)], SCHEMA)
+    return {(r.a, r.b) for r in M.pairs(df).collect()}
+
+
+def test_forms_that_no_list_has_are_firms(spark):
+    for name in ("ТДВ «Аркада»", "Концерн «Іван Франко»", "Фермерське господарство «Світанок»", "Громадська організація «Союз власників житла та підприємців малого бізнесу міста Степове і області»"):
+        assert read(name).kind == "firm"
+    assert read("ППАПФ Хокутоніча - Буд").words == ("хокутоніча",) and read("ТОВбудівельна компанія Сяробидеся").business == "бк"
+    assert read("Шевченко Іван").kind == "person" and read("Незнайко І. П.").kind == "person"
+    assert linked(spark, "ТДВ «Аркада»", "ТДВ «Аркадa»", "ТДВ «Аркадда»", "Концерн «Аркада»") == {(0, 1), (0, 2), (1, 2)}
+
+
+def test_short_names_and_words_in_another_order(spark):
+    assert linked(spark, "ТОВ «Мрія»", "ТОВ «Мріа»", "ТОВ «ББ»", "ТОВ «БВ»", "ПП «Зелений гай»", "ПП «Гай зелений»", "ПП «Зеленый гаай»", "ПП «Зеленийгай»") >= {(0, 1), (4, 5), (4, 7)}
+    assert (2, 3) not in linked(spark, "ТОВ «Мрія»", "ТОВ «Мріа»", "ТОВ «ББ»", "ТОВ «БВ»")
+
+
+def test_assignment_equals_every_permutation():
+    from itertools import permutations
+
+    r = random.Random(5)
+    for _ in range(200):
+        n, m = r.randrange(1, 5), r.randrange(4, 6)
+        cost = [[r.randrange(10) for _ in range(m)] for _ in range(n)]
+        got = M.assignment(cost)
+        assert len(set(got)) == n
+        assert sum(cost[i][j] for i, j in enumerate(got)) == min(sum(cost[i][j] for i, j in enumerate(w)) for w in permutations(range(m), n))
+
+
+def test_long_names_take_no_time():
+    import time
+
+    words = [f"словоназви{c}" for c in "абвгдежзиклм"]
+    began = time.perf_counter()
+    assert M.fits(tuple(words), tuple(reversed(words))) == 12
+    assert time.perf_counter() - began < 0.05
+
+
+def test_persons_of_a_large_family_equal_all_against_all(monkeypatch):
+    r = random.Random(8)
+    given, fathers = ["іван", "ігор", "олена", "оксана", "петро"], ["іванович", "петрович", "ігорович"]
+    forms = set()
+    while len(forms) < 120:
+        g, f = r.choice(given), r.choice(fathers)
+        words = r.choice([(g, f), (g[0], f[0]), (g,), (f, g), (g[:-1], f), (g[0], f), ()])
+        forms.add((words, frozenset(r.sample("123", r.randrange(2))), frozenset(r.sample("абв", r.randrange(2)))))
+    forms = sorted(forms, key=str)
+    got = M.persons(forms)
+
+    class All:
+        def __init__(self):
+            self.all, self.bare = [], []
+
+        def add(self, n, words):
+            self.all.append(n)
+
+        def near(self, words):
+            return set(self.all)
+
+    monkeypatch.setattr(M, "Forms", All)
+    assert got == M.persons(forms)
+
+
+def test_additions_are_learned(spark):
+    r = random.Random(3)
+    own = ["".join(r.choice("бвгджз") + r.choice("аиоу") for _ in range(4)) for _ in range(60)]
+    names = [f"ТОВ «{w} Холдинг»" for w in own[:40]] + [f"ТОВ «{w}»" for w in own[20:]]
+    df = spark.createDataFrame([(i, n, None, None, None) for i, n in enumerate(names)], SCHEMA)
+    assert M.learned_additions(df) == {"холдинг"}
+    assert M.pairs(df).count() == 0
+    assert M.linked(df).filter("links > 0 or entity <> name_id").count() == 0
