@@ -3,8 +3,9 @@
 From the texts of a case the passages that contest a decision of the authority are read: number, day, liable
 party, fine, each of which may be missing, anonymised or typed in another way. Both sources get several
 composite keys; a mention meets all acts of an equal key, and within the keys by name, which are sorted (sorted
-neighbourhood), also all acts of the names next to its own in a sliding window; each pair gets a weighted similarity of its fields. A case takes one act, the one with the greatest total
-over its texts, so the sum of confidences is the greatest possible (an act may be contested by several cases).
+neighbourhood), also all acts of the names next to its own in a sliding window; each pair gets a weighted similarity of its fields.
+Statements are then assigned to acts, one each (see :func:`assigned`): a case may contest several acts, and an act may be contested by
+several cases.
 
 The keys pair a number or a day with a second field, so a run of equal keys is a run of like acts; acts are merged and
 equal mentions of many cases are made one before. Of acts that tie on a key none is left out; where very many may tie, as
@@ -42,15 +43,19 @@ def _first(*cols: Column) -> Column:
     return F.coalesce(*[F.when(c != "", c) for c in cols])
 
 
+#: End of a sentence: not after an abbreviation or an initial.
+SENTENCE_END = r"(?<=[\p{L}]{3}|[)»\"\d]|[)»\"]\.)[.!?;]+(?= +[\p{Lu}«\"№])"
+
+
 def mentions(texts: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """``cause_num, number, day, fine, party`` of each text that contests a decision of the authority."""
+    """``doc, own_num, number, day, fine, party`` of each statement by which a text contests a decision of the authority.
+
+    A statement runs from words that contest a decision to the end of its sentence or the next such words, however long that is.
+    """
     q = lambda c: F.col(f"`{c}`")
     t = F.regexp_replace(base(q(text)), "№ ?(?=№)", "")
-    rows = texts.select(q(doc).alias("doc"), t.alias("t")).withColumn("l", F.lower("t"))
     cue = "(?:" + "|".join(CUES) + ")"
-    rows = rows.withColumn("said", F.regexp_extract("l", cue + r"(.{1,260})", 1)).filter((F.col("said") != "") & F.col("l").rlike(AUTHORITY))
-    number = F.regexp_extract("said", r"№ ?((?:\d{1,3} ?/ ?)?\d{1,4}(?: ?- ?| ?)(?:[рp](?: ?/ ?[кk])?)?)(?![0-9]| ?/ ?[0-9])", 1)
-    fine = F.regexp_replace(F.regexp_extract("said", r"штраф\S* в розмірі ([0-9 ]+) (?:грн|гривень)", 1), " ", "")
+    rows = texts.select(q(doc).alias("doc"), t.alias("t")).filter(F.col("t").rlike("(?iu)" + cue) & F.col("t").rlike("(?iu)" + AUTHORITY))
     x = lambda p: F.regexp_extract("t", p, 1)
     party = _first(
         x(r"(?:за позовом|позов) (.+?) до (?:АМКУ|Антимонопольн|територіальн|\S+ територіальн)"),
@@ -60,7 +65,13 @@ def mentions(texts: DataFrame, doc: str = "doc_id", text: str = "text") -> DataF
         x(r"(?:Справа|справа) [№ ]*[\d/]+[.:] (.+?) звернул"),
         x(r"до відповідальності ([^.(]+(?:\([^)]*\))?[^.(]*)"),
     )
-    return rows.select("doc", clean_case_number(F.col("t")).alias("own_num"), clean_decision_number(F.when(number != "", number)).alias("number"), clean_date(F.col("said")).alias("day"), F.when(fine != "", fine).alias("fine"), party.alias("party"))
+    pieces = F.slice(F.split("t", "(?iu)(?=" + cue + ")"), F.lit(1) + F.when(F.col("t").rlike("(?iu)^" + cue), 0).otherwise(1), F.length("t"))
+    said = F.array_distinct(F.transform(pieces, lambda p: F.lower(F.get(F.split(p, SENTENCE_END, 2), F.lit(0)))))
+    rows = rows.select("doc", clean_case_number(F.col("t")).alias("own_num"), party.alias("party"), F.explode(said).alias("said"))
+    number = F.regexp_extract("said", r"№ ?((?:\d{1,3} ?/ ?)?\d{1,4}(?: ?- ?| ?)(?:[рp](?: ?/ ?[кk])?)?)(?![0-9]| ?/ ?[0-9])", 1)
+    fine = F.regexp_replace(F.regexp_extract("said", r"штраф\S* в розмірі ([0-9 ]+) (?:грн|гривень)", 1), " ", "")
+    got = rows.select("doc", "own_num", clean_decision_number(F.when(number != "", number)).alias("number"), clean_date(F.col("said")).alias("day"), F.when(fine != "", fine).alias("fine"), "party")
+    return got.distinct()
 
 
 def of_cases(found: DataFrame, docs: DataFrame, doc: str = "doc_id", cause: str = "cause_num") -> DataFrame:
@@ -198,7 +209,7 @@ def similarity() -> Column:
 
 
 def contested(practice: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``rec_id, cause_num, confidence`` of the act that each case contests."""
+    """``rec_id, cause_num, confidence`` of the acts that each case contests."""
     fields = ["number", "day", "fine", "scope", "token"]
     cases = party_key(of_cases(mentions(texts), docs), "party", ["cause_num", *fields[:3]]).distinct()
     cases = written(cases.withColumn("mention", hash_diff(fields)), "mentions")
@@ -210,6 +221,19 @@ def contested(practice: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFra
     flat = flat.select("act", "number", "day", F.explode_outer("fines").alias("fine"), "parties")
     flat = flat.select("act", "number", "day", "fine", F.explode_outer("parties").alias("_p")).select("act", "number", "day", "fine", "_p.token")
     scored = met(said, flat).join(said, "mention").join(known, "act").withColumn("score", similarity()).filter(F.col("score") >= LEAST).select("mention", "act", "score")
-    total = cases.select("cause_num", "mention").join(scored, "mention").groupBy("cause_num", "act").agg(F.sum("score").alias("total"), F.max("score").alias("best"))
-    one = total.groupBy("cause_num").agg(F.max_by(F.struct("act", "best"), F.struct("total", -F.col("act"))).alias("_b"))
-    return one.select(F.col("_b.act").alias("rec_id"), "cause_num", (1 / (1 + F.exp(-(F.col("_b.best") - 3)))).alias("confidence"))
+    return assigned(cases.select("cause_num", "mention"), scored)
+
+
+def assigned(cases: DataFrame, scored: DataFrame) -> DataFrame:
+    """``rec_id, cause_num, confidence``: the assignment of each case's statements to acts with the greatest total confidence.
+
+    ``cases``: cause_num, mention; ``scored``: mention, act, score. Every statement of a case goes to one act: of those that it fits, the one with the
+    greatest total over all statements of the case (then the lowest record). So statements that can be of one act are, and a case has
+    at most as many acts as it has statements; an act may be contested by several cases.
+    """
+    fit = cases.join(scored, "mention")
+    total = fit.groupBy("cause_num", "act").agg(F.sum("score").alias("total"), F.max("score").alias("best"))
+    ranked = fit.select("cause_num", "mention", "act").join(total, ["cause_num", "act"])
+    one = ranked.groupBy("cause_num", "mention").agg(F.max_by(F.struct("act", "best"), F.struct("total", -F.col("act"))).alias("_b"))
+    best = one.groupBy("cause_num", F.col("_b.act").alias("rec_id")).agg(F.max("_b.best").alias("best"))
+    return best.select("rec_id", "cause_num", (1 / (1 + F.exp(-(F.col("best") - 3)))).alias("confidence"))

@@ -71,3 +71,29 @@ def test_all_acts_of_a_place(spark):
     known = spark.createDataFrame([("r", "020", i) for i in range(50)] + [("r", "021", 50), ("r", "022", 51)], "run string, place string, act long")
     got = {r.act for r in K.neighbours(spark.createDataFrame([("r", "020", 1), ("r", "0200", 2)], "run string, place string, mention long"), known, 1).filter("mention = 1").collect()}
     assert got == set(range(51))
+
+
+def test_all_statements_of_a_text_however_long(spark):
+    acts = [(1, "74/196-р", "2020-05-27", None, None, ["ПАТ «Півіцикииху»"]), (2, "9-р", "2021-02-03", None, None, ["ТОВ «Хамілитаху»"]), (3, "325-р", "2022-01-01", None, None, ["ТОВ «Інша»"])]
+    far = "за наслідками розгляду справи про порушення законодавства " * 8
+    texts = [
+        ("d1", f"Справа № 924/1/22: просить визнати недійсним рішення АМКУ, ухвалене {far}від 27.05.2020 № 74/196-р. Також просить скасувати рішення АМКУ від 03.02.2021 № 9-р. Суд бере до уваги рішення комітету від 01.01.2022 № 325-р."),
+        ("d2", "Справа № 924/2/22: просить скасувати рішення АМКУ. Суд бере до уваги практику, викладену в рішенні комітету від 27.05.2020 № 74/196-р."),
+        ("d3", "Справа № 924/3/22: просить скасувати рішення АМКУ від 27.05.2020 № 74/196-р."),
+        ("d4", "Справа № 924/3/22: скаржник ПАТ «Півіцикииху» не погоджується з рішенням АМКУ від 27.05.2020."),
+    ]
+    got = K.contested(spark.createDataFrame(acts, P), spark.createDataFrame([], "doc_id string, cause_num string"), spark.createDataFrame(texts, "doc_id string, text string")).collect()
+    assert {(r.rec_id, r.cause_num) for r in got} == {(1, "924/1/22"), (2, "924/1/22"), (1, "924/3/22")} and len(got) == 3
+
+
+def test_assignment_is_of_the_greatest_total(spark):
+    from itertools import product
+
+    cases = [("c", 1), ("c", 2), ("c", 3), ("e", 1)]
+    scored = [(1, 10, 5.0), (1, 11, 6.0), (2, 10, 6.0), (3, 12, 5.5), (3, 13, 5.5)]
+    got = K.assigned(spark.createDataFrame(cases, "cause_num string, mention long"), spark.createDataFrame(scored, "mention long, act long, score double"))
+    assert {(r.rec_id, r.cause_num) for r in got.collect()} == {(10, "c"), (12, "c"), (11, "e")}
+    # every choice of acts for the statements of the first case: none has a greater sum of the acts' totals
+    total = {a: sum(s for m, b, s in scored if b == a) for a in (10, 11, 12, 13)}
+    fits = {m: [a for n, a, _ in scored if n == m] for m in (1, 2, 3)}
+    assert max(sum(total[a] for a in way) for way in product(*fits.values())) == total[10] * 2 + total[12]
