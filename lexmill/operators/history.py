@@ -15,9 +15,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexmill.session import scratch_path, written
+
 OPEN_END = "9999-12-31"
 
 
@@ -35,7 +37,7 @@ def hash_diff(columns: list[str]) -> Column:
 
 
 def observations(snapshots: DataFrame, keys: dict[str, Column], snapshot: Column, updated: Column, satellite: Satellite, tie: list[Column] = ()) -> DataFrame:
-    """One row for each key and snapshot: keys, ``_at``, the attributes, ``_hash``. Map-side combined, so a hot key costs no large task."""
+    """One row for each key and snapshot: keys, ``_at``, the attributes, ``_hash``, ``_order`` (what decides among several). Map-side combined, so a hot key costs no large task."""
     attrs = list(satellite.attributes)
     rows = snapshots.select(
         *[e.alias(k) for k, e in keys.items()],
@@ -48,7 +50,7 @@ def observations(snapshots: DataFrame, keys: dict[str, Column], snapshot: Column
         rows = rows.filter(F.col(c).isNotNull())
     rows = rows.filter(F.coalesce(*[F.col(a).cast("string") for a in attrs]).isNotNull()).withColumn("_hash", hash_diff(attrs))
     order = F.struct("_updated", *[f"_tie{i}" for i in range(len(tie))], "_hash")
-    best = rows.groupBy(*keys, "_at").agg(F.max_by(F.struct(*attrs, "_hash"), order).alias("_best"))
+    best = rows.groupBy(*keys, "_at").agg(F.max_by(F.struct(*attrs, "_hash", order.alias("_order")), order).alias("_best"))
     return best.select(*keys, "_at", "_best.*")
 
 
@@ -58,21 +60,53 @@ def changed(obs: DataFrame, keys: list[str]) -> DataFrame:
     return obs.withColumn("_before", F.lag("_hash").over(w)).filter(~F.col("_hash").eqNullSafe(F.col("_before"))).drop("_before")
 
 
-def append_rows(seen: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows to append to a satellite for newly delivered observations.
+def rows_to_append(observed: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows to append to a satellite: ``observed`` holds all current observations of some keys, ``stored`` the satellite's valid rows.
 
-    ``seen``: all observations loaded so far (keys, ``_at``, attributes, ``_hash``); ``delta``: the new ones.
-    Only keys in ``delta`` are looked at. A late row inside a run splits it: then the row after it is
-    appended again as well, so the view over the appended rows stays right without an update.
+    A change that is not stored yet, and a stored row whose observation was corrected. A late row inside a run splits it: then the
+    row after it has become a change and is appended as well. No row is updated.
     """
-    touched = delta.select(*keys).distinct()
-    both = seen.join(touched, keys, "left_semi").withColumn("_new", F.lit(False)).unionByName(delta.withColumn("_new", F.lit(True)))
-    one = both.groupBy(*keys, "_at").agg(F.max_by(F.struct(*[c for c in both.columns if c not in (*keys, "_at")]), F.struct("_new", "_hash")).alias("_x")).select(*keys, "_at", "_x.*")
     w = Window.partitionBy(*keys).orderBy("_at")
-    after_new = F.coalesce(F.lag("_new").over(w), F.lit(False))
-    first = F.lag("_at").over(w).isNull()
-    differs = first | (F.lag("_hash").over(w) != F.col("_hash"))
-    return one.withColumn("_take", (F.col("_new") | after_new) & differs).filter("_take").drop("_take", "_new")
+    now = observed.withColumn("_change", ~F.col("_hash").eqNullSafe(F.lag("_hash").over(w)))
+    old = stored.select(*keys, "_at", F.col("_hash").alias("_stored"))
+    take = F.when(F.col("_stored").isNull(), F.col("_change")).otherwise(F.col("_stored") != F.col("_hash"))
+    return now.join(old, [*keys, "_at"], "left").filter(take).drop("_change", "_stored")
+
+
+class SatelliteTable:
+    """A satellite in a folder: what was observed and the rows of changes, both insert-only, each load after the other.
+
+    A load looks only at the keys that it delivers.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None):
+        self.spark = spark
+        self.path = path or scratch_path(spark, "satellite")
+
+    def _read(self, name: str, like: DataFrame) -> DataFrame:
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        there = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+        return self.spark.read.schema(like.schema).parquet(f"{self.path}/{name}") if there else like.limit(0)
+
+    @staticmethod
+    def _last(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
+        rest = [c for c in rows.columns if c not in (*keys, "_at")]
+        return rows.groupBy(*keys, "_at").agg(F.max_by(F.struct(*rest), order).alias("_best")).select(*keys, "_at", "_best.*")
+
+    def load(self, delivered: DataFrame, keys: list[str], number: int) -> None:
+        """Append a delivery (see :func:`observations`) as load ``number``."""
+        new = written(delivered, "delivery")
+        seen, rows = self._read("observed", new), self._read("rows", new.drop("_order").withColumn("_load", F.lit(number)))
+        touched = new.select(*keys).distinct()
+        observed = self._last(seen.join(touched, keys, "left_semi").unionByName(new), keys, F.col("_order")).drop("_order") if number else new.drop("_order")
+        stored = self._last(rows.join(touched, keys, "left_semi"), keys, F.col("_load"))
+        rows_to_append(observed, stored, keys).withColumn("_load", F.lit(number)).write.mode("append").parquet(f"{self.path}/rows")
+        new.write.mode("append").parquet(f"{self.path}/observed")
+
+    def view(self, like: DataFrame, keys: list[str]) -> DataFrame:
+        """The versions with their periods; of rows for one snapshot the last loaded is valid."""
+        rows = self._read("rows", like.drop("_order").withColumn("_load", F.lit(0)))
+        return versions(self._last(rows, keys, F.col("_load")).drop("_load"), keys)
 
 
 def versions(rows: DataFrame, keys: list[str], end: str = OPEN_END) -> DataFrame:
@@ -83,4 +117,4 @@ def versions(rows: DataFrame, keys: list[str], end: str = OPEN_END) -> DataFrame
     w = Window.partitionBy(*keys).orderBy("_at")
     own = changed(rows, keys)
     nxt = F.lead("_at").over(w)
-    return own.withColumn("valid_from", F.date_format("_at", "yyyy-MM-dd")).withColumn("valid_to", F.coalesce(F.date_format(nxt, "yyyy-MM-dd"), F.lit(end))).drop("_at", "_hash")
+    return own.withColumn("valid_from", F.date_format("_at", "yyyy-MM-dd")).withColumn("valid_to", F.coalesce(F.date_format(nxt, "yyyy-MM-dd"), F.lit(end))).drop("_at", "_hash", "_order")

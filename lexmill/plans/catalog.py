@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from lexmill.plans import court_queries, feed_queries, practice_queries
 from lexmill.plans.challenge_history import SQL as HISTORY_SQL
-from lexmill.plans.challenge_history import p5_challengers, p5_found
+from lexmill.plans.challenge_history import p5_appended, p5_challengers, p5_found
 
-QUERIES = {"p5_found": p5_found, "p5_challengers": p5_challengers, **practice_queries.QUERIES, **court_queries.QUERIES, **feed_queries.QUERIES}
+QUERIES = {"p5_found": p5_found, "p5_appended": p5_appended, "p5_challengers": p5_challengers, **practice_queries.QUERIES, **court_queries.QUERIES, **feed_queries.QUERIES}
 SQL: dict[str, str] = {**HISTORY_SQL, **practice_queries.SQL, **court_queries.SQL, **feed_queries.SQL}

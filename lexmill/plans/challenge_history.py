@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.chars import CYRILLIC_ALIKE, LATIN_ALIKE, plain_spaces, to_cyrillic, to_latin
 from lexmill.functions.registry_text import clean_case_number
-from lexmill.operators.history import Satellite, changed, observations, versions
+from lexmill.operators.history import Satellite, SatelliteTable, observations
 from lexmill.session import table
 
 #: The clean label and code pairs; the first label of a code stands for a null label.
@@ -54,19 +54,41 @@ def challenger_satellite() -> Satellite:
     return Satellite("challenger", {"challenger": F.when(name != "", name)})
 
 
-def history(snapshots: DataFrame, satellite: Satellite) -> DataFrame:
-    """All versions of a satellite's attributes for each challenge."""
+KEYS = ["decision_key", "case_number"]
+
+
+def observed(snapshots: DataFrame, satellite: Satellite) -> DataFrame:
     keys = {"decision_key": F.col("decision_key"), "case_number": clean_case_number(F.col("case_number"))}
-    obs = observations(snapshots, keys, F.col("snapshot_on"), F.try_to_timestamp(F.col("updated_at")), satellite, [F.col("delivered_at")])
-    return versions(changed(obs, list(keys)), list(keys))
+    return observations(snapshots, keys, F.col("snapshot_on"), F.try_to_timestamp(F.col("updated_at")), satellite, [F.col("delivered_at")])
+
+
+def history(deliveries: list[DataFrame], satellite: Satellite) -> DataFrame:
+    """All versions of a satellite's attributes for each challenge, after loading the deliveries one after the other."""
+    held = SatelliteTable(deliveries[0].sparkSession)
+    for number, d in enumerate(deliveries):
+        obs = observed(d, satellite)
+        held.load(obs, KEYS, number)
+    return held.view(obs, KEYS)
+
+
+def by_month(snapshots: DataFrame) -> list[DataFrame]:
+    """Snapshots in the order of delivery, one part for each month; the first also holds the rows without a date of delivery."""
+    month = F.coalesce(F.date_format("delivered_at", "yyyy-MM"), F.lit(""))
+    months = sorted(r.m for r in snapshots.select(month.alias("m")).distinct().collect())  # as many as months
+    return [snapshots.filter(month == m) for m in months] or [snapshots]
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history(table(spark, sf_dir, "registry_snapshots"), status_satellite())
+    return history([table(spark, sf_dir, "registry_snapshots")], status_satellite())
+
+
+def p5_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same history by one load for each month of delivery."""
+    return history(by_month(table(spark, sf_dir, "registry_snapshots")), status_satellite())
 
 
 def p5_challengers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history(table(spark, sf_dir, "registry_snapshots"), challenger_satellite())
+    return history([table(spark, sf_dir, "registry_snapshots")], challenger_satellite())
 
 
 def _sql(attributes: dict[str, str], ask: str) -> str:
@@ -100,5 +122,6 @@ def _sql(attributes: dict[str, str], ask: str) -> str:
 
 SQL = {
     "p5_found": _sql({"status": "code", "status_label": "label"}, "coalesce(status, status_label) IS NOT NULL"),
+    "p5_appended": _sql({"status": "code", "status_label": "label"}, "coalesce(status, status_label) IS NOT NULL"),
     "p5_challengers": _sql({"challenger": "nullif({challenger}, '')"}, "challenger IS NOT NULL"),
 }

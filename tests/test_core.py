@@ -106,21 +106,22 @@ def test_satellites(spark):
 def test_satellite_appends_equal_one_load(spark):
     r = random.Random(4)
     keys, sat = {"k": F.col("k")}, H.Satellite("s", {"v": F.col("v")})
-    rows = [(k, f"2025-{m:02d}-01", r.choice("ab")) for k in "xyz" for m in range(1, 13)]
+    # late rows, repeated ones, and corrections of a snapshot (greater u)
+    rows = [(k, f"2025-{m:02d}-01", r.choice("ab"), u) for k in "xyz" for m in range(1, 13) for u in range(r.randrange(1, 3))]
     r.shuffle(rows)
+    rows.append(rows[0])
 
     def obs(part):
-        return H.observations(spark.createDataFrame(part, "k string, at string, v string").withColumn("at", F.to_date("at")), keys, F.col("at"), F.lit(0), sat)
+        df = spark.createDataFrame(part, "k string, at string, v string, u int").withColumn("at", F.to_date("at"))
+        return H.observations(df, keys, F.col("at"), F.col("u"), sat)
 
     whole = {tuple(x) for x in H.versions(H.changed(obs(rows), ["k"]), ["k"]).collect()}
-    stored, seen = None, None
-    for i in range(0, len(rows), 12):
-        delta = obs(rows[i : i + 12])
-        new = H.append_rows(seen, delta, ["k"]) if seen is not None else H.changed(delta, ["k"])
-        stored = new if stored is None else stored.unionByName(new)
-        seen = delta if seen is None else seen.unionByName(delta)
-    # a row appended again for the same snapshot repeats it
-    assert {tuple(x) for x in H.versions(stored.distinct(), ["k"]).collect()} == whole
+    held = H.SatelliteTable(spark)
+    for number, i in enumerate(range(0, len(rows), 11)):
+        H.SatelliteTable(spark, held.path).load(obs(rows[i : i + 11]), ["k"], number)
+        so_far = {tuple(x) for x in H.versions(H.changed(obs(rows[: i + 11]), ["k"]), ["k"]).collect()}
+        assert {tuple(x) for x in held.view(obs(rows), ["k"]).collect()} == so_far
+    assert so_far == whole
 
 
 def test_status_and_label(spark):
