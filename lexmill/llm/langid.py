@@ -6,7 +6,8 @@ contexts with their back-off weights; look-up is by binary search. A word's log
 word alone, so each worker scores a word once. A sentence gets the language of the lowest length-normalised
 cross-entropy; a sentence whose margin is under the calibrated threshold is rejected and goes with its
 neighbours (best path over the document's sentences with a cost for each change). Neighbouring sentences of one
-language make a segment.
+language make a segment. A document whose cross-entropy is over the calibrated ceiling even so (two and a half times what all but one in a hundred
+held-out sentences have) is in none of the languages: one segment of language ``und`` with confidence 0.
 
 The models are fitted on a bounded sample of labelled documents (``per_language`` documents at most for each
 language, chosen by a hash of the key); everything else reads all documents whole.
@@ -35,8 +36,10 @@ OTHER_CODES = {"ukr": "uk", "ua": "uk", "rus": "ru", "eng": "en", "pol": "pl", "
 ORDER = 5
 #: Bound of the sample of labelled documents for each language.
 PER_LANGUAGE = 1000
-#: Letters under which a sentence has no say of its own: single foreign words and inserted symbols make no segment.
-MIN_LETTERS = 14
+#: Words (of more than two letters) and letters in them from which a sentence has a say of its own: single foreign words and inserted symbols make no segment.
+LEAST_WORDS, LEAST_LETTERS = 2, 8
+#: Language of a text that none of the models knows.
+UNKNOWN = "und"
 #: Bits that a change of language between two sentences costs.
 CHANGE_BITS = 8.0
 _RUNS = re.compile(r"[^\W\d_]+")
@@ -86,6 +89,7 @@ class Models:
     unseen: float
     calibration: tuple[float, float] = (0.0, 1.0)
     reject: float = 0.0
+    ceiling: float = float("inf")
 
     def score(self, words: list[str]) -> np.ndarray:
         """Bits of each word under each language (rows words, columns languages)."""
@@ -200,8 +204,8 @@ class Pieces(dict):
         self.clear()
         self.todo: list[tuple[int, str]] = []
         self.rows = 1
-        # of each piece: bits by language, letters, whether a sentence ends with it
-        self.table = np.zeros((1024, len(LANGUAGES) + 2))
+        # of each piece: bits by language, letters, words of more than two letters and their letters, whether a sentence ends with it
+        self.table = np.zeros((1024, len(LANGUAGES) + 4))
         self.table[0, -1] = 1
 
     def words(self, piece: str) -> list[str]:
@@ -225,8 +229,10 @@ class Pieces(dict):
         for row, piece, ws in split:
             self.table[row, -1] = bool(_END.search(piece))
             for w in ws:
-                self.table[row, :-2] += bits[place[w]]
-                self.table[row, -2] += len(w)
+                self.table[row, :-4] += bits[place[w]]
+                self.table[row, -4] += len(w)
+            telling = [len(w) for w in ws if len(w) > 2]
+            self.table[row, -3:-1] = len(telling), sum(telling)
         self.todo = []
 
 
@@ -254,7 +260,7 @@ def confidence(models: Models, bits: np.ndarray) -> float:
 
 
 def scan(models: Models, pieces: Pieces, texts: list[str | None]):
-    """Yields for each text its segments ``(language, bits, first sentence, end)`` and the number of pieces before each sentence; None without words."""
+    """Yields for each text its segments: language (None for an unknown one), bits, number of pieces before it; None for a text without words."""
     flat: list[int] = []
     bounds = [0]
     if not len(models.grams[0]):
@@ -278,19 +284,22 @@ def scan(models: Models, pieces: Pieces, texts: list[str | None]):
         cut = np.flatnonzero(ends[a:b]) + 1
         starts = np.r_[0, cut[:-1]] if len(cut) and cut[-1] == b - a else np.r_[0, cut]
         sums = np.add.reduceat(rows[a:b, :-1], starts, 0)
-        has = sums[:, -1] > 0
+        has = sums[:, -3] > 0
         if not has.any():
             yield None
             continue
         sums, starts = sums[has], starts[has]
-        bits, chars = sums[:, :-1], sums[:, -1]
+        bits, chars, words, telling = sums[:, :-3], sums[:, -3], sums[:, -2], sums[:, -1]
         s = np.sort(bits, 1)
         # a rejected sentence has no say of its own
-        sure = ((s[:, 1] - s[:, 0]) / np.maximum(chars, 8) >= models.reject) & (chars >= MIN_LETTERS)
+        sure = ((s[:, 1] - s[:, 0]) / np.maximum(chars, 8) >= models.reject) & (words >= LEAST_WORDS) & (telling >= LEAST_LETTERS)
         say = np.where(sure[:, None], bits, 0.0) if sure.any() else np.tile(bits.sum(0), (len(bits), 1))
         first = say.argmin(1)
         voting = say.any(1)
         path = np.full(len(say), first[voting][0]) if (first[voting] == first[voting][0]).all() else best_path(say)
+        if bits[np.arange(len(path)), path].sum() > models.ceiling * chars.sum():
+            yield [(None, bits.sum(0), 0)]
+            continue
         turn = np.flatnonzero(np.r_[True, path[1:] != path[:-1]])
         before = real[a + starts] - (ids[a + starts] != 0) - (real[a - 1] if a else 0)
         yield [(int(path[x]), bits[x:y].sum(0), int(before[x])) for x, y in zip(turn, np.r_[turn[1:], len(path)])]
@@ -358,6 +367,9 @@ def train(rows: list[tuple[str, str]], rounds: int = 2) -> Models:
     margin, chars = (s[:, 1] - s[:, 0], np.array([sum(map(len, ws)) for _, ws in test])) if test else (np.zeros(0), np.zeros(0))
     models.calibration = _logistic(np.log1p(margin), right)
     models.reject = _threshold(margin / np.maximum(chars, 8), right)
+    whole = np.arange(len(test)) >= len(test) // 4 * 3  # the pieces that are whole sentences
+    if len(test):
+        models.ceiling = float(2.5 * np.quantile(s[whole, 0] / np.maximum(chars[whole], 1), 0.99))
     return models
 
 
@@ -415,9 +427,9 @@ def segments(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "
                     for j, (l, bits, _) in enumerate(found):
                         row.append(i)
                         seg.append(j)
-                        lang.append(LANGUAGES[l])
-                        langs.append([LANGUAGES[f[0]] for f in found] if j == 0 else langs[-1])
-                        conf.append(confidence(m, bits))
+                        lang.append(UNKNOWN if l is None else LANGUAGES[l])
+                        langs.append([UNKNOWN if f[0] is None else LANGUAGES[f[0]] for f in found] if j == 0 else langs[-1])
+                        conf.append(0.0 if l is None else confidence(m, bits))
                         begin.append(places[j])
                         end.append(places[j + 1] if j + 1 < len(found) else len(texts[i]))
                 take = pa.array(row, pa.int64())
@@ -428,6 +440,6 @@ def segments(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "
 
 
 def wrong_or_mixed(found: DataFrame) -> DataFrame:
-    """The segments of documents whose label is no language of theirs, or that have more than one segment."""
+    """The segments of documents whose label is no language of theirs, or that have more than one segment; documents in an unknown language are left out."""
     ok = F.coalesce(F.array_contains("langs", label_code(F.col("label"))), F.lit(False))
-    return found.filter(~ok | (F.size("langs") > 1))
+    return found.filter((F.col("lang") != UNKNOWN) & (~ok | (F.size("langs") > 1)))

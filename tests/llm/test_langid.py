@@ -84,3 +84,20 @@ def test_operator(spark, models):
     assert part[0].strip() == TEXTS["en"] and part[1] == TEXTS["de"]
     assert all(0.5 < r.confidence <= 1 for r in seg.collect())
     assert G.segments(df.limit(0), models).count() == 0
+
+
+def test_short_foreign_sentences_and_unknown_languages():
+    rows = duckdb.sql("select lang, text from '/root/testdata/sf0.01/documents.parquet' where lang in ('uk','ru','en','pl','de') and length(text) > 200 order by doc_id").fetchall()
+    m = G.train(rows)
+    uk = "Рішення може бути оскаржене до господарського суду."
+    texts = [f"{uk} Fine paid. {uk}", f"{uk} OK. {uk}", "Bonjour, je voudrais réserver une chambre pour deux personnes. Merci beaucoup.", uk]
+    got = [[f[0] if f[0] is None else G.LANGUAGES[f[0]] for f in x] for x in G.scan(m, G.Pieces(m), texts)]
+    assert got == [["uk", "en", "uk"], ["uk"], [None], ["uk"]]
+
+
+def test_documents_in_an_unknown_language(spark):
+    rows = duckdb.sql("select lang, text from '/root/testdata/sf0.01/documents.parquet' where lang in ('uk','ru','en','pl','de') and length(text) > 200 order by doc_id").fetchall()
+    docs = spark.createDataFrame([(1, "Bonjour, je voudrais réserver une chambre pour deux personnes.", "uk")], "doc_id long, text string, lang string")
+    out = G.segments(docs, G.train(rows))
+    assert [(r.lang, r.confidence, r.seg_no) for r in out.collect()] == [("und", 0.0, 0)]
+    assert G.wrong_or_mixed(out).count() == 0
