@@ -1,9 +1,7 @@
-"""Rule families: ordered first-match cascades, tagging, and extraction of numbered references."""
+"""Rule families: ordered first-match cascades, tagging, aliases and codes."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,10 +11,6 @@ def any_of(text: Column, patterns: list[str]) -> Column:
     return F.coalesce(text.rlike("(?iu)" + "|".join(f"(?:{p})" for p in patterns)), F.lit(False))
 
 
-def all_of(*tests: Column) -> Column:
-    return reduce(lambda a, b: a & b, tests)
-
-
 def cascade(steps: list[tuple[Column, str]], default: str) -> Column:
     """The name of the first step whose test holds."""
     out = F.when(steps[0][0], steps[0][1])
@@ -31,23 +25,11 @@ def code_map(value: Column, aliases: dict[str, str], default: Column) -> Column:
     return F.coalesce(F.try_element_at(table, F.lower(F.trim(value))), default)
 
 
-def numbered(text: Column, patterns: list[str], low: int, high: int) -> Column:
-    """Numbers that the patterns (one group each) find, within bounds, without repeats, ascending."""
-    found = F.concat(*[F.regexp_extract_all(F.lower(text), F.lit(p), F.lit(1)) for p in patterns])
-    return F.array_sort(F.array_distinct(F.filter(F.transform(found, lambda x: x.try_cast("int")), lambda n: n.between(low, high))))
-
-
-#: How texts refer to a point of the article on violations.
-POINT_PATTERNS = [r"пункт(?:ом|у|а|і)?\s*(\d{1,2})\s+статті\s*50", r"п\.?\s*(\d{1,2})\s*ст\.?\s*50", r"пункт(?:ом|у|а|і)?\s*(\d{1,2})\s+частини\s+першої\s+статті\s*50"]
+#: Points of the article on violations; articles on unfair competition, in order.
 POINTS = (1, 21)
-#: Articles on unfair competition, in order.
 UNFAIR_ARTICLES = ["4", "5", "6", "7", "8", "10", "11", "13", "14", "15", "15-1", "16", "17", "18", "19"]
 
 
-def points(text: Column) -> Column:
-    return numbered(text, POINT_PATTERNS, *POINTS)
-
-
 def primary_code(code: Column) -> Column:
     """``zek:50:n`` or ``unfair:a`` of the known ones, else null."""
     c = F.translate(F.regexp_replace(F.lower(code), r"\s+", ""), "–—", "--")

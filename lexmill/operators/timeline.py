@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.functions.text import trim_all
+from lexmill.functions.text import WS, trim_all
+from lexmill.operators.rules import any_of
 
 ITEM = T.StructType([T.StructField(n, T.StringType()) for n in ("time", "date_from", "title", "url", "source")] + [T.StructField("tags", T.ArrayType(T.StructType([T.StructField("name", T.StringType())]))), T.StructField("excerpt", T.StringType())])
 PAGE = T.StructType([T.StructField("current_page", T.IntegerType()), T.StructField("last_page", T.IntegerType()), T.StructField("data", T.MapType(T.StringType(), T.ArrayType(ITEM)))])
@@ -47,6 +48,39 @@ def summary(text: Column, cues: list[str], least: int = 80, most: int = 900) ->
 
 
 def case_numbers(text: Column) -> Column:
-    """Case numbers of announcements (``№ 127-26.4/116-26``), dashes made one, without repeats."""
+    """Case numbers of announcements (``№ 127-26.4/116-26``), those after the word for a case first, dashes made one, without repeats."""
     t = F.translate(text, "–—", "--")
-    return F.array_distinct(F.regexp_extract_all(t, F.lit(r"№\s*(\d{2,3}-\d{1,2}(?:\.\d{1,2})?/\d{1,4}-\d{2})"), F.lit(1)))
+    number = rf"№{WS}*(\d{{2,4}}-\d{{1,3}}(?:\.\d{{1,3}})?/\d{{1,4}}-\d{{2}})"
+    return F.array_distinct(F.concat(*[F.regexp_extract_all(t, F.lit("(?iu)" + p), F.lit(1)) for p in (f"справ[аи]{WS}*" + number, number)]))
+
+
+#: The two laws that announcements name, and what is said where none is named.
+ECONOMIC_LAW, UNFAIR_LAW, NOT_NAMED = "Закон України «Про захист економічної конкуренції»", "Закон України «Про захист від недобросовісної конкуренції»", "Не зазначено в повідомленні"
+
+
+def qualification(text: Column) -> Column:
+    """``law, article, point, text`` that an announcement names: a point of the article on violations, else an article on unfair competition, else nothing."""
+    law = lambda words: f"{WS}+".join(["Закону", "України", "«?Про", "захист", *words]) + "»?"
+    first = lambda p: F.regexp_extract(text, "(?iu)" + p, 1)
+    eco, unf = law(["економічної", "конкуренції"]), law(["від", "недобросовісної", "конкуренції"])
+    points = [first(rf"пункт(?:ом|у)?{WS}*(\d{{1,2}}){WS}+статті{WS}*50{WS}+{eco}"), first(rf"п\.?{WS}*(\d{{1,2}}){WS}*ст\.?{WS}*50{WS}+{eco}")]
+    point = F.coalesce(*[F.when(p != "", p) for p in points])
+    raw = first(rf"статт(?:і|ею|я){WS}*(15{WS}*[-–—]?{WS}*1|15{WS}*¹|\d{{1,2}}){WS}+{unf}")
+    article = F.regexp_replace(F.translate(F.regexp_replace(raw, WS, ""), "–—", "--"), "¹", "-1")
+    of = lambda law_name: F.regexp_replace(F.lit(law_name), "^Закон ", " Закону ")
+    none = F.lit(None).cast("string")
+    by_point = F.struct(F.lit(ECONOMIC_LAW).alias("law"), F.lit("ст. 50").alias("article"), F.concat(F.lit("п. "), point).alias("point"), F.concat(F.lit("п. "), point, F.lit(" ст. 50"), of(ECONOMIC_LAW)).alias("text"))
+    by_article = F.struct(F.lit(UNFAIR_LAW).alias("law"), F.concat(F.lit("ст. "), article).alias("article"), none.alias("point"), F.concat(F.lit("ст. "), article, of(UNFAIR_LAW)).alias("text"))
+    nothing = F.struct(none.alias("law"), none.alias("article"), none.alias("point"), F.lit(NOT_NAMED).alias("text"))
+    return F.when(point.isNotNull(), by_point).when(article != "", by_article).otherwise(nothing)
+
+
+#: Words of announcements about medicines; two of them count only inside or beside a word of ASCII letters and digits.
+SECTOR_WORDS = ["фармац", "лікарськ", "препарат", "аптек", "медичн", "медвироб", "дієтичн", "добавк"]
+SECTOR_EDGES = ["фарма(?=[A-Za-z0-9_])", "(?<=[A-Za-z0-9_])бад(?=[A-Za-z0-9_])"]
+SECTOR_PHRASES = [("вироб[аи]", "медичного", "призначення"), ("активн[іи]", "фармацевтичн[іи]", "інгредієнт")]
+
+
+def sector_signal(text: Column) -> Column:
+    """A text speaks of medicines. (Longer phrases with a word of the list are covered by the word.)"""
+    return any_of(text, [*SECTOR_WORDS, *SECTOR_EDGES, *[f"{WS}+".join(p) for p in SECTOR_PHRASES]])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import text as X
 from lexmill.functions.chars import digit_pairs, width_pairs
 from lexmill.functions.chars import fold_digits
-from lexmill.operators import best, resources as R, rules, search as S
+from lexmill.operators import best, decisions, resources as R, rules, search as S
 from lexmill.session import table
 
 QUERIES: dict = {}
@@ -154,7 +154,7 @@ def q06_rule_cascade(spark: SparkSession, sf: str) -> DataFrame:
 def q07_extract_points(spark: SparkSession, sf: str) -> DataFrame:
     """Numbered references in texts: bounded, without repeats, ascending; the smallest is the primary one."""
     t = F.array_join(F.transform("legal_basis", lambda b: F.concat(b, F.lit(" статті 50"))), "; ")
-    p = table(spark, sf, "practice").select("rec_id", rules.points(t).alias("p"))
+    p = table(spark, sf, "practice").select("rec_id", decisions.points(t).alias("p"))
     return p.select("rec_id", F.array_join("p", ",").alias("points"), F.get("p", F.lit(0)).alias("primary_point"))
 
 

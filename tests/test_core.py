@@ -194,7 +194,7 @@ def test_containment_of_any_shape(spark):
 
 def test_rules(spark):
     t = "пунктом 4 статті 50 та п. 13 ст. 50; пункт 4 частини першої статті 50, пункт 99 статті 50"
-    assert one(spark, t, rules.points) == [4, 13]
+    assert one(spark, t, decisions.points) == [4, 13]
     assert one(spark, "zek:50: 22", rules.primary_code) is None and one(spark, "unfair:151", rules.primary_code) == "unfair:15-1"
     assert one(spark, "ШТРАФ", lambda c: rules.cascade([(rules.any_of(c, ["штраф"]), "fine")], "other")) == "fine"
 
