@@ -14,21 +14,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 #: Characters that RTF control words stand for, and groups that hold no text.
-RTF_WORDS = {"par": "\n", "line": "\n", "row": "\n", "page": "\n", "sect": "\n", "tab": "\t", "cell": "\t", "emdash": "—", "endash": "–", "lquote": "‘", "rquote": "’", "ldblquote": "“", "rdblquote": "”", "bullet": "•", "emspace": " ", "enspace": " "}
-RTF_SILENT = {"fonttbl", "colortbl", "stylesheet", "info", "pict", "object", "header", "footer", "headerl", "headerr", "footerl", "footerr", "generator", "themedata", "datastore", "listtable", "listoverridetable", "rsidtbl", "xmlnstbl", "latentstyles"}
+RTF_WORDS = {"par": "\n", "line": "\n", "row": "\n", "page": "\n", "sect": "\n", "tab": "\t", "cell": "\t", "emdash": "—", "endash": "–", "bullet": "•", "lquote": "‘", "rquote": "’", "ldblquote": "“", "rdblquote": "”", "enspace": " ", "emspace": " ", "qmspace": " "}
+RTF_SILENT = {
+    "fonttbl", "colortbl", "stylesheet", "info", "pict", "object", "header", "headerf",
+    "headerl", "headerr", "footer", "footerf", "footerl", "footerr", "footnote", "annotation",
+    "fldinst", "xmlnstbl", "listtable", "listoverridetable", "themedata", "datastore",
+    "latentstyles", "generator", "revtbl", "rsidtbl", "protusertbl", "shp", "shpinst",
+}
 _RTF = re.compile(rb"\\([a-z]+)(-?\d+)? ?|\\'([0-9a-fA-F]{2})|\\([^a-z])|([{}])|[\r\n]+|([^\\{}\r\n]+)", re.S)
-_CHARSET = re.compile(rb"""charset=["']?\s*([A-Za-z0-9_-]+)""", re.I)
 
 
 def bytes_to_text(data: bytes, declared: str | None = None) -> str:
-    """Declared charset, byte-order mark, UTF-8, Windows-1251, Latin-1: the first that decodes."""
-    if data[:3] == b"\xef\xbb\xbf":
-        declared = "utf-8-sig"
-    elif data[:2] in (b"\xff\xfe", b"\xfe\xff"):
-        declared = "utf-16"
-    elif not declared and (m := _CHARSET.search(data[:2048])):
-        declared = m[1].decode("ascii")
-    for name in (declared, "utf-8", "cp1251"):
+    """The first charset that decodes: the declared one, that of a byte-order mark, UTF-8, Windows-1251, Latin-1. The text itself names none."""
+    mark = "utf-8-sig" if data[:3] == b"\xef\xbb\xbf" else "utf-16" if data[:2] in (b"\xff\xfe", b"\xfe\xff") else None
+    for name in (declared, mark, "utf-8", "cp1251"):
         try:
             if name:
                 return data.decode(name)
@@ -94,6 +93,8 @@ def rtf_to_text(data: bytes) -> str:
                 held += sign
             elif not silent and sign == b"~":
                 held += b" "
+            elif not silent and sign == b"_":
+                held += b"-"
         elif plain and not silent:
             take = plain[skip:]
             skip = max(0, skip - len(plain))
@@ -120,8 +121,20 @@ def document_to_text(data: bytes, content_type: str | None, url: str | None) ->
         return rtf_to_text(data)
     if name.endswith(".docx") or data[:4] == b"PK\x03\x04":
         return docx_to_text(data)
-    text = bytes_to_text(data, (re.search(r"charset=([\w-]+)", kind) or [None, None])[1])
-    return html_to_text(text) if "html" in kind or re.search(r"(?is)<html|<body|<p\b", text[:2000]) else text.strip()
+    text = bytes_to_text(data, (re.search(r"charset\s*=\s*['\"]?([^;\s'\"]+)", kind) or [None, None])[1])
+    return html_to_text(text) if "html" in kind or re.search(r"(?i)<(?:html|body|p)\b", text) else text.strip()
+
+
+#: Entities in the order in which they are resolved; as the ampersand comes early, ``&amp;lt;`` becomes ``<``.
+ENTITIES = [("&nbsp;", " "), ("&amp;", "&"), ("&quot;", '"'), ("&#039;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">")]
+
+
+def entities_to_text(text: str) -> str:
+    """Named entities one after the other, then numbers."""
+    for name, char in ENTITIES:
+        text = re.sub(name, lambda _, c=char: c, text, flags=re.I)
+    number = lambda m: chr(int(m[1]) % 65536) if m[1] else chr(int(m[2], 16) % 65536)
+    return re.sub(r"&#(?:(\d+)|[xX]([0-9a-fA-F]+));", number, text)
 
 
 def docx_to_text(data: bytes) -> str:
@@ -166,8 +179,7 @@ def _mapped(f):
 nfkc = _mapped(lambda x: unicodedata.normalize("NFKC", x))
 rtf_text = _mapped(lambda x: rtf_to_text(bytes(x)))
 decoded = _mapped(lambda x: bytes_to_text(bytes(x)))
-html_text = _mapped(html_to_text)
-unescaped = _mapped(html.unescape)
+unescaped = _mapped(entities_to_text)
 file_name = _mapped(lambda x: re.sub(r"#U([0-9a-fA-F]{4})", lambda m: chr(int(m[1], 16)), x))
 json_text = _mapped(first_json)
 

@@ -16,10 +16,6 @@ def trim_all(col: Column) -> Column:
     return F.regexp_replace(col, f"^{WS}+|(?<!{WS}){WS}+$", "")
 
 
-def null_if_empty(col: Column) -> Column:
-    return F.when(trim_all(col) != "", col)
-
-
 def normalize_spaces(col: Column) -> Column:
     """No-break spaces and runs of blanks become one space, three or more line ends two, ends are trimmed."""
     t = F.regexp_replace(col, "\u00a0", " ")
@@ -147,11 +143,6 @@ def unique_texts(col: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(col, trim_all), lambda x: x != ""))
 
 
-def joined(*parts: Column, sep: str = "\n") -> Column:
-    """Texts and arrays of texts, the non-empty ones, joined."""
-    return F.concat_ws(sep, *parts)
-
-
 def escape_html(col: Column) -> Column:
     for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):
         col = F.replace(col, F.lit(a), F.lit(b))
@@ -165,8 +156,8 @@ def plural(n: Column, one: str, few: str, many: str) -> Column:
 
 
 def money(col: Column) -> Column:
-    """Thousands apart by spaces, two decimals after a comma."""
-    return F.translate(F.format_number(col, 2), ",.", " ,")
+    """Whole hryvnias, thousands apart by no-break spaces; a dash for none."""
+    return F.when(F.coalesce(col, F.lit(0)) == 0, "—").otherwise(F.concat(F.translate(F.format_number(F.floor(col + 0.5), 0), ",", "\u00a0"), F.lit(" грн")))
 
 
 def short_label(col: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +22,11 @@ def keep_first(df: DataFrame, keys: list[str], order: Column, columns: list[str]
 
 
 def upsert(base: DataFrame, changes: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Base and changes by key; a change wins over the base, the last of several wins (by ``order``)."""
+    """Base and changes by key; a change wins over the base, the last of several wins (by ``order``). Rows with a null in their key replace nothing and all stay."""
     both = base.withColumn("_new", F.lit(0)).unionByName(changes.withColumn("_new", F.lit(1)))
-    return keep_best(both, keys, F.struct("_new", order)).drop("_new")
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    columns = base.columns
+    return keep_best(both.filter(known), keys, F.struct("_new", order)).select(*columns).unionByName(both.filter(~known).select(*columns))
 
 
 def last_value_first_place(df: DataFrame, keys: list[str], order: str) -> DataFrame:

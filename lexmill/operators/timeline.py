@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +12,6 @@ from lexmill.functions.text import WS, trim_all
 from lexmill.operators.rules import any_of
 
 ITEM = T.StructType([T.StructField(n, T.StringType()) for n in ("time", "date_from", "title", "url", "source")] + [T.StructField("tags", T.ArrayType(T.StructType([T.StructField("name", T.StringType())]))), T.StructField("excerpt", T.StringType())])
-PAGE = T.StructType([T.StructField("current_page", T.IntegerType()), T.StructField("last_page", T.IntegerType()), T.StructField("data", T.MapType(T.StringType(), T.ArrayType(ITEM)))])
 
 
 def flatten(pages: DataFrame, text: str = "value", page: str = "page") -> DataFrame:
@@ -34,6 +33,19 @@ def period(mode: str, as_of: dt.date) -> tuple[dt.date, dt.date]:
     raise ValueError(mode)
 
 
+def rolling(rows: DataFrame, key: str, at: str, span: int, aggregates: list[Column], names: list[str], per_task: int = 60) -> DataFrame:
+    """Rows with aggregates over the last ``span`` (microseconds, exclusive) of their key, themselves included.
+
+    Time is cut into pieces of ``per_task`` spans; a row near the end of a piece is seen by the next one as well, so a key of any size is split over
+    many tasks and no window reaches beyond its piece.
+    """
+    piece = F.floor(F.col(at) / (span * per_task))
+    near_end = F.col(at) - piece * (span * per_task) > span * (per_task - 1)
+    both = rows.withColumn("_piece", F.explode(F.when(near_end, F.array(piece, piece + 1)).otherwise(F.array(piece)))).withColumn("_own", F.col("_piece") == piece)
+    w = Window.partitionBy(key, "_piece").orderBy(at).rangeBetween(-(span - 1), 0)
+    return both.select("*", *[a.over(w).alias(n) for a, n in zip(aggregates, names)]).filter("_own").drop("_piece", "_own")
+
+
 def week_key(at: Column) -> Column:
     """``weekly:monday:sunday`` of a time: the key of its digest."""
     monday = F.date_trunc("week", at).cast("date")

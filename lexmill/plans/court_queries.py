@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import decoders as D
@@ -181,13 +181,15 @@ def q21_prefilter(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "court_texts").select("doc_id", sued.alias("authority_sued"), higher.alias("higher_court"), F.coalesce(sued & ~higher, F.lit(False)).alias("dropped"))
 
 
-@query("""WITH t AS (SELECT doc_id, sha256('challenge' || chr(31) || doc_id || chr(31) || sha256(text)) AS cache_key FROM court_texts), c AS (SELECT cache_key, doc_id FROM t WHERE CAST(doc_id AS BIGINT) % 3 = 0)
+@query(f"""WITH t AS (SELECT doc_id, sha256('challenge' || chr(31) || doc_id || chr(31) || sha256(text)) AS cache_key FROM court_texts), k AS (SELECT doc_id FROM court_docs WHERE {_CASE} IN (SELECT {_CASE.replace('cause_num', 'case_number')} FROM registry_snapshots)), c AS (SELECT DISTINCT cache_key FROM t WHERE doc_id IN (SELECT doc_id FROM k))
   SELECT t.doc_id, t.cache_key, c.cache_key IS NOT NULL AS cached FROM t LEFT JOIN c ON t.cache_key = c.cache_key""")
 def q22_annotation_cache(spark: SparkSession, sf: str) -> DataFrame:
-    """Candidates against a cache by the hash of all that an answer depends on (the cache here holds every third document)."""
+    """Candidates against a cache by the hash of all that an answer depends on (the cache here holds the texts of the cases in the registry)."""
     key = F.sha2(F.concat_ws("\x1f", F.lit("challenge"), "doc_id", F.sha2("text", 256)), 256)
     t = table(spark, sf, "court_texts").select("doc_id", key.alias("cache_key"))
-    cache = t.filter(F.col("doc_id").cast("bigint") % 3 == 0).select("cache_key", F.lit(True).alias("hit"))
+    known = table(spark, sf, "registry_snapshots").select(clean_case_number(F.col("case_number")).alias("cause"))
+    docs = table(spark, sf, "court_docs").select("doc_id", clean_case_number(F.col("cause_num")).alias("cause")).join(known, "cause", "left_semi")
+    cache = t.join(docs, "doc_id", "left_semi").select("cache_key", F.lit(True).alias("hit")).distinct()
     return t.join(cache, "cache_key", "left").select("doc_id", "cache_key", F.col("hit").isNotNull().alias("cached"))
 
 
@@ -215,14 +217,15 @@ def q25_later_act(spark: SparkSession, sf: str) -> DataFrame:
     return g.select("decision_key", "case_number", F.when(F.col("f").isNull(), "pending").when(F.col("o") > F.col("f"), "reopened").otherwise("final").alias("state"))
 
 
-@query(f"""WITH s AS ({_SNAP}), b AS (SELECT *, source_years[1] AS y FROM s WHERE len(source_years) > 0)
-  SELECT decision_key, case_number, arg_max(challenger, (updated_at, y = 2026, coalesce(challenger, ''))) FILTER (challenger IS NOT NULL) AS challenger, array_to_string(list_sort(list(DISTINCT y)), ',') AS years, max(updated_at) AS updated_at FROM b GROUP BY 1, 2""")
+@query(f"""WITH s AS ({_SNAP}), b AS (SELECT *, coalesce(list_contains(source_years, 2026), false) AS incoming FROM s), y AS (SELECT decision_key, case_number, list_sort(list(DISTINCT v)) AS years FROM (SELECT decision_key, case_number, unnest(source_years) AS v FROM s) GROUP BY 1, 2)
+  SELECT b.decision_key, b.case_number, arg_max(challenger, (updated_at, incoming, coalesce(challenger, ''))) FILTER (challenger IS NOT NULL) AS challenger, coalesce(array_to_string(any_value(y.years), ','), '') AS years, max(updated_at) AS updated_at FROM b LEFT JOIN y ON y.decision_key IS NOT DISTINCT FROM b.decision_key AND y.case_number IS NOT DISTINCT FROM b.case_number GROUP BY 1, 2""")
 def q26_registry_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Two years of the registry merged: fields of the fresher side, union of years, latest update."""
-    s = snapshots(spark, sf).filter(F.size("source_years") > 0).select("decision_key", "case_number", "challenger", "source_years", "updated_at")
-    old, new = s.filter(F.get("source_years", F.lit(0)) != 2026), s.filter(F.get("source_years", F.lit(0)) == 2026)
+    s = snapshots(spark, sf).select("decision_key", "case_number", "challenger", "source_years", "updated_at")
+    incoming = F.coalesce(F.array_contains("source_years", 2026), F.lit(False))
+    old, new = s.filter(~incoming), s.filter(incoming)
     # rows without a challenger say nothing about it
-    fresh = F.when(F.col("challenger").isNotNull(), F.struct("updated_at", (F.get("source_years", F.lit(0)) == 2026).alias("y"), F.coalesce("challenger", F.lit("")).alias("c")))
+    fresh = F.when(F.col("challenger").isNotNull(), F.struct("updated_at", incoming.alias("y"), F.coalesce("challenger", F.lit("")).alias("c")))
     m = G.merge(old, new, ["decision_key", "case_number"], F.struct(F.col("challenger").isNotNull().alias("has"), fresh.alias("f")))
     return m.select("decision_key", "case_number", "challenger", F.array_join("source_years", ",").alias("years"), "updated_at")
 
@@ -271,10 +274,11 @@ def q39_completeness(spark: SparkSession, sf: str) -> DataFrame:
     return t.agg(F.count("*").alias("cases"), w.alias("with_text"), F.count_if(F.col("texts") == F.col("docs")).alias("complete"), F.greatest(F.lit(0), F.count("*") - w).alias("coverage_gap"), (F.count_if(F.col("texts") == 0) == 0).alias("may_write"))
 
 
-@query("SELECT DISTINCT court_code, name FROM courts")
+@query("SELECT court_code, name, row_number() OVER (ORDER BY name COLLATE uk, court_code) AS place FROM (SELECT DISTINCT court_code, name FROM courts)")
 def q41_courts_collated(spark: SparkSession, sf: str) -> DataFrame:
-    """Courts in the order of the Ukrainian alphabet."""
-    return table(spark, sf, "courts").select("court_code", "name").distinct().orderBy(F.collate(F.col("name"), "uk"), "court_code")
+    """Courts with their place in the order of the Ukrainian alphabet (a fixed dimension, so one window over all of it)."""
+    w = Window.orderBy(F.collate(F.col("name"), "uk"), "court_code")
+    return table(spark, sf, "courts").select("court_code", "name").distinct().withColumn("place", F.row_number().over(w))
 
 
 @query(f"""WITH s AS ({_SNAP}), g AS (SELECT decision_key, case_number, list_sort(list(DISTINCT y)) AS years FROM (SELECT decision_key, case_number, unnest(source_years) AS y FROM s) GROUP BY 1, 2)
@@ -330,7 +334,7 @@ def q49_coercion(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "practice").select("rec_id", c["resolves"].alias("resolves"), c["confidence"].alias("confidence"), c["outcome"].alias("outcome"))
 
 
-@query(None)
+@query("SELECT doc_id, true AS same FROM court_texts WHERE text IS NOT NULL")
 def q43_rtf(spark: SparkSession, sf: str) -> DataFrame:
     """Court texts wrapped as RTF and decoded again; ``same`` says that nothing was lost."""
     t = table(spark, sf, "court_texts").filter("text is not null").select("doc_id", F.trim(X.compact(F.col("text"))).alias("t"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as X
@@ -31,14 +31,23 @@ def q34_json(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", F.element_at(m, "k").alias("k"), F.size(F.map_keys(m)).cast("bigint").alias("fields"))
 
 
-@query("""WITH t AS (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, sum(value) AS v FROM events GROUP BY 1, 2) SELECT CAST(day AS VARCHAR) AS day, event_type, n, round(v, 4) AS total FROM t""")
-def q34_timeline(spark: SparkSession, sf: str) -> DataFrame:
-    """Maps of days to lists of items, flattened again and counted."""
+_ITEMS = """d AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2), i AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY event_type) - 1 AS place FROM d)"""
+
+
+def pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed pages of a timeline as JSON texts, one for each month: days with their items, and a day that holds no list."""
     e = table(spark, sf, "events")
-    d = e.groupBy(F.col("ts").cast("date").cast("string").alias("day"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
-    day = d.groupBy("day").agg(F.collect_list(F.struct("event_type", "n", "total")).alias("items"))
-    maps = day.select(F.map_from_arrays(F.array("day"), F.array("items")).alias("data"))
-    return maps.select(F.explode("data").alias("day", "items")).select("day", F.explode("items").alias("i")).select("day", "i.event_type", "i.n", "i.total")
+    d = e.groupBy(F.col("ts").cast("date").cast("string").alias("day"), "event_type").agg(F.count("*").alias("n"))
+    item = F.struct(F.col("event_type").alias("title"), F.concat(F.lit("https://feed.example.invalid/"), "day", F.lit("/"), "event_type", F.lit("/")).alias("url"), F.array(F.struct(F.col("n").cast("string").alias("name"))).alias("tags"))
+    days = d.groupBy("day").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    months = days.groupBy(F.substring("day", 1, 7).alias("page")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("day", "items")))).alias("data"))
+    return months.select("page", F.concat(F.lit('{"current_page": 1, "last_page": 1, "data": '), F.regexp_replace("data", r"\}$", ', "none": "no list"}'), F.lit("}")).alias("value"))
+
+
+@query(f"WITH {_ITEMS} SELECT substr(day, 1, 7) AS page, day, CAST(place AS INT) AS place, event_type AS title, CAST(n AS VARCHAR) AS tags, 'https://feed.example.invalid/' || day || '/' || event_type AS url_key FROM i")
+def q34_timeline(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed pages of days and items, one row for each item; days without a list are skipped."""
+    return L.flatten(pages(spark, sf)).select("page", "day", "place", "title", F.array_join("tags", ",").alias("tags"), X.url_key(F.col("url")).alias("url_key"))
 
 
 _CUES = ["штраф", "fine", "порушен"]
@@ -86,9 +95,8 @@ def q44_stream_seen(spark: SparkSession, sf: str) -> DataFrame:
 @query("""SELECT event_id, count(*) OVER w AS requests, round(sum(value) OVER w, 4) AS tokens FROM events WINDOW w AS (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW)""")
 def q38_rolling(spark: SparkSession, sf: str) -> DataFrame:
     """Requests and tokens of the last sixty seconds of each user."""
-    e = table(spark, sf, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
-    w = Window.partitionBy("user_id").orderBy("us").rangeBetween(-59999999, 0)
-    return e.select("event_id", F.count("*").over(w).alias("requests"), F.round(F.sum("value").over(w), 4).alias("tokens"))
+    e = table(spark, sf, "events").select("event_id", "user_id", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    return L.rolling(e, "user_id", "us", 60_000_000, [F.count("*"), F.sum("value")], ["requests", "tokens"]).select("event_id", "requests", F.round("tokens", 4).alias("tokens"))
 
 
 @query("""SELECT doc_id, CASE WHEN length(text) > 1000 THEN substr(text, 1, 700) || chr(10) || chr(10) || '[...]' || chr(10) || chr(10) || right(text, 300) ELSE text END AS fitted, greatest(1, CAST(ceil(length(text) / 2.0) AS INT)) AS estimate FROM documents WHERE text IS NOT NULL""")

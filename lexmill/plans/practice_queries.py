@@ -46,12 +46,7 @@ def _search_sql(i: int) -> str:
 @query(" UNION ALL ".join(_search_sql(i) for i in range(len(SEARCHES))))
 def q01_search(spark: SparkSession, sf: str) -> DataFrame:
     """Four searches: quoted phrases in single fields, words in the blob, facets."""
-    rows = table(spark, sf, "practice")
-    parts = [S.search(rows, q, family, year).select(F.lit(i).alias("search_no"), "rec_id") for i, (q, family, year) in enumerate(SEARCHES)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return S.search_all(table(spark, sf, "practice"), SEARCHES, "rec_id")
 
 
 _TOTAL = "coalesce(list_sum(list_transform(sanction_amounts, lambda s: coalesce(s.amount_uah, 0.0))), 0.0)"
@@ -63,10 +58,17 @@ def total_sanction():
 
 
 
-@query(None)
+def _sort_sql(name: str, order: str) -> str:
+    return f"SELECT '{name}' AS sort_name, CAST(k AS INT) AS place, rec_id FROM (SELECT rec_id, row_number() OVER (ORDER BY {order}, rec_id) AS k FROM f) WHERE k <= 25"
+
+
+_FACETS = "SELECT rec_id, coalesce(sort_key, '') AS sk, coalesce(decision_date, 'null') || '|' || coalesce(decision_number, 'null') AS title, " + _TOTAL + " AS total FROM practice WHERE classification.law_family = 'economic_competition' AND primary_code = 'zek:50:1'"
+
+
+@query(f"WITH f AS ({_FACETS}) " + " UNION ALL ".join(_sort_sql(*x) for x in [("date_desc", "sk COLLATE uk DESC"), ("date_asc", "sk COLLATE uk"), ("sanction_desc", "total DESC, sk COLLATE uk DESC"), ("title_asc", "title COLLATE uk")]))
 def q02_faceted_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """The first page of 25 of each of the four sorts within two facets (a top list). No SQL: collations order odd characters differently."""
-    rows = S.search(table(spark, sf, "practice"), "", "economic_competition", None, "zek:50:1").withColumn("total", total_sanction()).select("rec_id", "sort_key", "decision_number", "total")
+    """The first page of 25 of each of the four sorts within two facets (a top list)."""
+    rows = S.search(table(spark, sf, "practice"), "", "economic_competition", None, "zek:50:1").withColumn("total", total_sanction()).select("rec_id", F.coalesce("sort_key", F.lit("")).alias("sort_key"), "decision_date", "decision_number", "total")
     out = None
     for name, order in S.orders(F.col("total")).items():
         p = S.page(rows, order, 25)
@@ -187,7 +189,7 @@ _PLAN_SQL = f"""plan AS (SELECT *, {_period_sql()} AS period, coalesce(try_cast(
 
 
 @query(f"""WITH {_PLAN_SQL} SELECT period, id, high, strftime(updated, '%Y-%m-%d') AS updated_on FROM plan WHERE period IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY period ORDER BY high DESC, CASE WHEN high > 0 THEN 1 ELSE 0 END DESC, updated DESC NULLS LAST, coalesce(try_cast(size AS BIGINT), 0) DESC, title DESC, ord) = 1""")
+  QUALIFY row_number() OVER (PARTITION BY period ORDER BY high DESC, CASE WHEN high > 0 THEN 1 ELSE 0 END DESC, updated DESC NULLS LAST, coalesce(try_cast(size AS BIGINT), 0) DESC, coalesce(nullif(title, ''), nullif(name, ''), '') COLLATE uk DESC, ord) = 1""")
 def q09_best_per_month(spark: SparkSession, sf: str) -> DataFrame:
     """The best archive of each month by range, date, size; the first of equals."""
     return R.best_per_month(R.planned(table(spark, sf, "resources"))).select("period", "id", "high", F.date_format("updated", "yyyy-MM-dd").alias("updated_on"))
@@ -195,18 +197,19 @@ def q09_best_per_month(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""WITH s AS (SELECT *, coalesce(decision_date, '') || '|' || coalesce(decision_number, '') AS k,
     coalesce(length(violation_summary), 0) + coalesce(length(amcu_reasoning), 0) + coalesce(length(respondent_position), 0) + coalesce(length(sanction), 0)
-    + CASE confidence WHEN 'high' THEN 1000 WHEN 'medium' THEN 500 ELSE 0 END AS score FROM practice)
+    + coalesce(length(array_to_string(liable_parties, ' ')), 0) + coalesce(length(array_to_string(legal_basis, ' ')), 0) + CASE confidence WHEN 'high' THEN 1000 WHEN 'medium' THEN 500 ELSE 0 END AS score FROM practice)
   SELECT k AS merge_key, rec_id, score FROM s WHERE k <> '|' QUALIFY row_number() OVER (PARTITION BY k ORDER BY score DESC, rec_id DESC) = 1""")
 def q10_dedupe_quality(spark: SparkSession, sf: str) -> DataFrame:
     """One row for each key, of the greatest quality; the last of equals; rows without a key go."""
     n = lambda c: F.coalesce(F.length(c), F.lit(0))
-    score = n("violation_summary") + n("amcu_reasoning") + n("respondent_position") + n("sanction") + F.when(F.col("confidence") == "high", 1000).when(F.col("confidence") == "medium", 500).otherwise(0)
+    words = lambda c: F.coalesce(F.length(F.array_join(c, " ")), F.lit(0))
+    score = words("liable_parties") + words("legal_basis") + n("violation_summary") + n("amcu_reasoning") + n("respondent_position") + n("sanction") + F.when(F.col("confidence") == "high", 1000).when(F.col("confidence") == "medium", 500).otherwise(0)
     rows = table(spark, sf, "practice").select(X.result_key(F.col("decision_date"), F.col("decision_number")).alias("merge_key"), "rec_id", score.alias("score")).filter("merge_key <> '|'")
     return best.keep_best(rows, ["merge_key"], F.struct("score", "rec_id"))
 
 
 @query("""SELECT decision_key, rec_id, outcome_label, source_file FROM (SELECT decision_key, rec_id, outcome_label, source_file FROM practice UNION ALL SELECT decision_key, rec_id, outcome_label, source_file FROM practice_batches)
-  QUALIFY row_number() OVER (PARTITION BY decision_key ORDER BY rec_id DESC) = 1""")
+  QUALIFY decision_key IS NULL OR row_number() OVER (PARTITION BY decision_key ORDER BY rec_id DESC) = 1""")
 def q11_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Arriving decisions over the accepted ones: the last writer wins."""
     cols = ["decision_key", "rec_id", "outcome_label", "source_file"]
@@ -230,26 +233,26 @@ def q13_lookback(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("id", "period")
 
 
-@query(f"SELECT count(*) AS decisions, round(sum({_TOTAL}), 2) AS sanctions_total, count(*) FILTER (classification.law_family = 'economic_competition') AS economic, count(*) FILTER (classification.law_family = 'unfair_competition') AS unfair, count(*) FILTER (classification.law_family = 'mixed') AS mixed, array_to_string(list_reverse(list_sort(list(DISTINCT year) FILTER (year IS NOT NULL AND year > 0))), ',') AS years, arg_min(decision_date, (sort_key, rec_id)) AS oldest, count(DISTINCT primary_code) AS codes FROM practice")
+@query(f"SELECT count(*) AS decisions, round(sum({_TOTAL}), 2) AS sanctions_total, count(*) FILTER (classification.law_family = 'economic_competition') AS economic, count(*) FILTER (classification.law_family = 'unfair_competition') AS unfair, count(*) FILTER (classification.law_family = 'mixed') AS mixed, array_to_string(list_reverse(list_sort(list(DISTINCT year) FILTER (year IS NOT NULL AND year > 0))), ',') AS years, arg_min(coalesce(decision_date, ''), (coalesce(sort_key, ''), rec_id)) AS oldest, arg_max(coalesce(decision_date, ''), (coalesce(sort_key, ''), rec_id)) AS newest, count(DISTINCT primary_code) AS codes FROM practice")
 def q29_index(spark: SparkSession, sf: str) -> DataFrame:
     """The aggregates of an overview: totals, families, years, ends of the sort order."""
     fam = lambda f: F.count_if(F.col("classification.law_family") == f)
     return table(spark, sf, "practice").withColumn("total", total_sanction()).agg(
         F.count("*").alias("decisions"), F.round(F.sum("total"), 2).alias("sanctions_total"), fam("economic_competition").alias("economic"), fam("unfair_competition").alias("unfair"), fam("mixed").alias("mixed"),
         F.array_join(F.sort_array(F.collect_set(F.when(F.col("year") > 0, F.col("year"))), asc=False), ",").alias("years"),
-        F.min_by("decision_date", F.struct("sort_key", "rec_id")).alias("oldest"), F.countDistinct("primary_code").alias("codes"),
+        *[f(F.coalesce("decision_date", F.lit("")), F.struct(F.coalesce("sort_key", F.lit("")), "rec_id")).alias(n) for f, n in ((F.min_by, "oldest"), (F.max_by, "newest"))], F.countDistinct("primary_code").alias("codes"),
     )
 
 
 CODE_ORDER = [f"zek:50:{n}" for n in range(1, 22)] + [f"unfair:{a}" for a in rules.UNFAIR_ARTICLES]
 
 
-@query(f"""WITH c AS (SELECT primary_code AS code, count(*) AS n, arg_min(primary_label, (sort_key, rec_id)) AS label FROM practice WHERE sort_key IS NOT NULL GROUP BY 1)
+@query(f"""WITH c AS (SELECT primary_code AS code, count(*) AS n, arg_min(coalesce(primary_label, ''), (coalesce(sort_key, ''), rec_id)) AS label FROM practice GROUP BY 1)
   SELECT code, n, label, coalesce(nullif(list_position({CODE_ORDER!r}, code), 0), 2147483647) AS place FROM c""")
 def q30_categories(spark: SparkSession, sf: str) -> DataFrame:
     """Counts by code with the label of the first row in sort order and the place in the fixed order of codes."""
     order = F.create_map(*[F.lit(x) for i, c in enumerate(CODE_ORDER) for x in (c, i + 1)])
-    g = table(spark, sf, "practice").filter("sort_key is not null").groupBy(F.col("primary_code").alias("code")).agg(F.count("*").alias("n"), F.min_by("primary_label", F.struct("sort_key", "rec_id")).alias("label"))
+    g = table(spark, sf, "practice").groupBy(F.col("primary_code").alias("code")).agg(F.count("*").alias("n"), F.min_by(F.coalesce("primary_label", F.lit("")), F.struct(F.coalesce("sort_key", F.lit("")), "rec_id")).alias("label"))
     return g.withColumn("place", F.coalesce(F.try_element_at(order, "code"), F.lit(2147483647)))
 
 

@@ -10,12 +10,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.functions.text import clean
+from lexmill.functions.text import clean, match_form
 
 #: Entries of archives that are no documents.
 JUNK = r"(?i)(?:^|/)(?:~\$|\._)|(?:^|/)(?:\.DS_Store|thumbs\.db)$|(?:^|/)__MACOSX(?:/|$)"
 
 
+#: Parties that are no names.
+GENERIC = ["інформація з обмеженим доступом", "інформація доступ до якої обмежено", "інформація доступ до якої є обмеженим", "особа 1", "особа 2", "особа 3", "фізична особа", "юридична особа"]
+#: A practice record as files hold it (what loading needs).
+PRACTICE = T.StructType([*[T.StructField(n, T.StringType()) for n in ("decision_key", "id", "decision_id", "decision_number", "decision_date", "decision_outcome")], T.StructField("liable_parties", T.ArrayType(T.StringType()))])
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -47,6 +53,15 @@ def read_envelope(spark: SparkSession, schema: T.StructType, path: str, names: t
     return text.select(F.posexplode(rows).alias("ord", "row")).select("ord", "row.*")
 
 
+def practice_rows(rows: DataFrame) -> DataFrame:
+    """Loaded records (see :func:`read_envelope`) with a number: ``row_id`` by the first key they have, clean parties, and parties in matched form without generic ones."""
+    c = lambda n: F.when(clean(F.col(n)) != "", clean(F.col(n)))
+    parties = F.filter(F.transform(F.coalesce("liable_parties", F.array().cast("array<string>")), clean), lambda x: x != "")
+    norms = F.filter(F.transform(parties, match_form), lambda x: (x != "") & ~x.isin(*GENERIC) & ~x.rlike(r"^особа\s*\d+$"))
+    key = F.coalesce(c("decision_key"), c("id"), c("decision_id"), F.concat(F.lit("practice-"), "ord"))
+    return rows.filter(c("decision_number").isNotNull()).select(key.alias("row_id"), c("decision_number").alias("decision_number"), F.coalesce(c("decision_date"), F.lit("")).alias("decision_date"), "decision_outcome", parties.alias("liable_parties"), norms.alias("party_norms"))
+
+
 def read_tsv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """A tab-separated register with a header, all columns cleaned strings; rows with too few or too many fields are kept."""
     df = spark.read.csv(path, sep="\t", quote='"', header=True, encoding="UTF-8", mode="PERMISSIVE", inferSchema=False)
@@ -82,10 +97,16 @@ def archive_members(spark: SparkSession, path: str, pattern: str = r"(?i)\.(?:do
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.zip").load(path).select("path", "content").mapInArrow(run, "archive string, member string, content binary")
 
 
+def member(members: DataFrame, name: str) -> DataFrame:
+    """The member of each archive whose file name is ``name`` in any case; of several the first by path."""
+    base = F.lower(F.element_at(F.split("member", "/"), -1))
+    return members.filter(base == name.lower()).groupBy("archive").agg(F.min_by(F.struct("member", "content"), "member").alias("_m")).select("archive", "_m.*")
+
+
 def documents(spark: SparkSession, path: str) -> DataFrame:
-    """``path, content, file_sha256`` of the documents of a folder and all below, without junk."""
+    """``path, content, file_sha256`` of the documents of a folder and all below, without junk, in the order of the Ukrainian alphabet."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return df.filter(F.col("path").rlike(r"(?i)\.(?:docx?|rtf|html?|txt)$") & ~F.col("path").rlike(JUNK)).select("path", "content", F.sha2("content", 256).alias("file_sha256"))
+    return df.filter(F.col("path").rlike(r"(?i)\.(?:docx?|rtf|html?|txt)$") & ~F.col("path").rlike(JUNK)).select("path", "content", F.sha2("content", 256).alias("file_sha256")).orderBy(F.collate("path", "uk"))
 
 
 def archive_url(entries: DataFrame, name: str, order: str = "ord") -> DataFrame:
@@ -106,6 +127,6 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
-    """CSV of the named columns; nested values as JSON text."""
+    """CSV of the named columns with a byte-order mark before its header; nested values as JSON text, other columns left out."""
     nested = (T.ArrayType, T.StructType, T.MapType)
-    df.select(*[(F.to_json(c) if isinstance(df.schema[c].dataType, nested) else F.col(c)).alias(c) for c in columns]).write.mode("overwrite").option("header", True).csv(path)
+    df.select(*[(F.to_json(c) if isinstance(df.schema[c].dataType, nested) else F.col(c)).alias(("" if i else "\ufeff") + c) for i, c in enumerate(columns)]).write.mode("overwrite").option("header", True).csv(path)

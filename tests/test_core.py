@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import decoders as D
 from lexmill.functions import text as X
 from lexmill.functions.registry_text import clean_case_number, clean_date, clean_decision_number
-from lexmill.operators import best, containment as C, court_documents as V, history as H, registry as G, resources as R, rules, search as S, timeline as L
+from lexmill.operators import best, containment as C, court_documents as V, decisions, history as H, registry as G, resources as R, rules, search as S, timeline as L
 from lexmill.plans import challenge_history
 from lexmill.sources import files
 
@@ -52,7 +52,7 @@ def one(spark, value, f, kind="string"):
         (D.json_text, 'so: {"a": "}"} end', '{"a": "}"}'),
         (D.json_text, "```json\n[1]\n```", "[1]"),
         (D.json_text, "none", None),
-        (D.unescaped, "&laquo;x&#8470;", "«x№"),
+        (D.unescaped, "&amp;lt;x&#8470;&#X41;&nbsp;", "<x№A "),
     ],
 )
 def test_text(spark, f, value, want):
