@@ -18,7 +18,6 @@ CYRILLIC_ALIKE = "АаВСсЕеНІіЈјКкМОоРрЅѕТХхУу"
 #: Dashes and minus signs that stand for a hyphen, and slashes that stand for a solidus.
 DASHES = "‐‑‒–—―−﹘﹣－"
 SLASHES = "∕⁄／"
-UK_LETTERS = "абвгґдеєжзиіїйклмнопрстуфхцчшщьюя"
 
 
 @lru_cache

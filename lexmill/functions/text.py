@@ -25,7 +25,7 @@ def normalize_spaces(col: Column) -> Column:
 
 def compact(col: Column) -> Column:
     """Every run of white space becomes one space."""
-    return trim_all(F.regexp_replace(col, f"{WS}+", " "))
+    return F.trim(F.regexp_replace(col, f"{WS}+", " "))
 
 
 def clean(col: Column) -> Column:
@@ -38,22 +38,19 @@ def search_form(col: Column) -> Column:
     t = F.lower(F.coalesce(col, F.lit("")))
     t = F.translate(t, "\u00a0’ʼ`´–—", " ''''--")
     t = F.regexp_replace(t, "¹", "-1")
-    return F.trim(F.regexp_replace(F.regexp_replace(t, "[^0-9a-zа-яіїєґ'\\-]+", " "), " +", " "))
+    return F.trim(F.regexp_replace(t, "[^0-9a-zа-яіїєґ'\\-]+", " "))
 
 
 def match_form(plain: Column) -> Column:
     """The form in which texts and identifiers are matched; ``plain`` has compatibility characters resolved (see ``decoders.nfkc``)."""
-    t = F.translate(F.lower(F.regexp_replace(plain, "№", " ")), "ґ", "г")
-    t = F.regexp_replace(t, "[’'`ʼ«»“”„]", " ")
-    t = F.regexp_replace(t, "[‐‑‒–—−]", "-")
-    return F.trim(F.regexp_replace(F.regexp_replace(t, r"[^0-9a-zа-яіїєг/\-]+", " "), " +", " "))
+    t = F.translate(F.lower(plain), "ґ‐‑‒–—−", "г------")
+    return F.trim(F.regexp_replace(t, r"[^0-9a-zа-яіїєг/\-]+", " "))
 
 
 def identifier_form(plain: Column) -> Column:
     """An identifier without spaces and signs other than ``/`` and ``-``."""
-    t = F.translate(F.lower(F.regexp_replace(plain, "№", "")), "ґ", "г")
-    t = F.regexp_replace(F.regexp_replace(t, "[‐‑‒–—−]", "-"), f"{WS}+", "")
-    return F.regexp_replace(t, r"[^0-9a-zа-яіїєг/\-]", "")
+    t = F.translate(F.lower(plain), "ґ‐‑‒–—−", "г------")
+    return F.regexp_replace(t, r"[^0-9a-zа-яіїєг/\-]+", "")
 
 
 def first_date(col: Column) -> Column:

@@ -56,6 +56,7 @@ def pattern(identifier: Column) -> Column:
 def contained(texts: DataFrame, doc: str, form: str, identifiers: DataFrame, identifier: str) -> DataFrame:
     """``doc, identifier``: each text and each identifier that it holds. Rows of both inputs should be distinct by those columns."""
     ids = identifiers.select(identifier).filter(F.col(identifier) != "").distinct().withColumn("_t", canonical(F.col(identifier)))
-    cut = texts.select(doc, form, F.explode(tokens(F.col(form), *shapes(ids, identifier))).alias("_t"))
-    pairs = cut.join(ids, "_t")
+    cut = texts.select(doc, F.explode(tokens(F.col(form), *shapes(ids, identifier))).alias("_t"))
+    # only keys and tokens are joined; the texts come back for the pairs that are left
+    pairs = cut.join(ids, "_t").select(doc, identifier).distinct().join(texts.select(doc, form), doc)
     return pairs.filter(F.regexp_like(F.col(form), pattern(F.col(identifier)))).select(doc, identifier).distinct()

@@ -161,12 +161,12 @@ def q19_fallback(spark: SparkSession, sf: str) -> DataFrame:
     return best.with_fallback(first, second, ["cause"])
 
 
-@query("""SELECT DISTINCT decision_key, snapshot_on::VARCHAR AS snapshot_on FROM registry_snapshots a WHERE snapshot_on = DATE '2026-06-01' AND NOT EXISTS (SELECT 1 FROM registry_snapshots b WHERE b.decision_key = a.decision_key AND b.snapshot_on = DATE '2025-01-01')""")
+@query(f"""WITH s AS (SELECT decision_key, {_CASE.replace('cause_num', 'case_number')} AS case_number, snapshot_on FROM registry_snapshots) SELECT DISTINCT decision_key, case_number, snapshot_on::VARCHAR AS snapshot_on FROM s a WHERE snapshot_on = DATE '2026-06-01' AND NOT EXISTS (SELECT 1 FROM s b WHERE b.decision_key = a.decision_key AND b.case_number = a.case_number AND b.snapshot_on = DATE '2025-01-01')""")
 def q20_known_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """What a snapshot has that an earlier one did not: known keys are removed before anything costly."""
-    s = table(spark, sf, "registry_snapshots").select("decision_key", "snapshot_on")
+    """Pairs of decision and case that a snapshot has and an earlier one did not: known pairs are removed before anything costly."""
+    s = table(spark, sf, "registry_snapshots").select("decision_key", clean_case_number(F.col("case_number")).alias("case_number"), "snapshot_on")
     new, old = s.filter(F.col("snapshot_on") == F.lit("2026-06-01").cast("date")), s.filter(F.col("snapshot_on") == F.lit("2025-01-01").cast("date"))
-    return new.join(old.select("decision_key"), "decision_key", "left_anti").select("decision_key", F.col("snapshot_on").cast("string").alias("snapshot_on")).distinct()
+    return new.join(old.select("decision_key", "case_number"), ["decision_key", "case_number"], "left_anti").select("decision_key", "case_number", F.col("snapshot_on").cast("string").alias("snapshot_on")).distinct()
 
 
 
@@ -304,6 +304,33 @@ def q46_validation(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("doc_id", valid.alias("valid"), reason.alias("reason"))
 
 
+_MARKS = f"regexp_matches(form, '(?:^|\\s)(?:{'|'.join(V.JUDGMENTS)})(?:\\s|$)') AS j, regexp_matches(form, '{'|'.join(V.COURTS)}') AS c, regexp_matches(form, '(?:^|\\s)справ[аиіою](?:\\s|$)') AS w"
+
+
+@query(f"""WITH d AS (SELECT doc_id, max({_CASE}) AS cause FROM court_docs GROUP BY 1), a AS (SELECT doc_id, 1 AS attempt, substr(text, 1, 250) AS t FROM court_texts WHERE text IS NOT NULL UNION ALL SELECT doc_id, 2, text FROM court_texts), f AS (SELECT a.*, {_FORM_SQL.format(c=_fold_sql('t'))} AS form, cause FROM a LEFT JOIN d USING (doc_id)),
+  v AS (SELECT doc_id, attempt, t, length(form) AS n, coalesce({_CASE_IN_TEXT}, false) AS hit, {_MARKS} FROM f), k AS (SELECT *, coalesce((n >= 300 AND hit) OR (n >= 1000 AND w AND j AND c), false) AS ok FROM v)
+  SELECT doc_id, min(attempt) FILTER (ok) AS attempt, arg_min(length(t), attempt) FILTER (ok) AS chars, count(*) AS attempts FROM k GROUP BY 1""")
+def q46_first_valid(spark: SparkSession, sf: str) -> DataFrame:
+    """Of several attempts to get a text (here a torn one and the whole) the first that is a valid document."""
+    d = table(spark, sf, "court_docs").select("doc_id", clean_case_number(F.col("cause_num")).alias("cause")).groupBy("doc_id").agg(F.max("cause").alias("cause"))
+    t = table(spark, sf, "court_texts")
+    a = t.filter("text is not null").select("doc_id", F.lit(1).alias("attempt"), F.substring("text", 1, 250).alias("t")).unionByName(t.select("doc_id", F.lit(2).alias("attempt"), F.col("text").alias("t")))
+    a = a.withColumn("form", _form(F.col("t"))).join(d, "doc_id", "left")
+    hit = F.coalesce(F.regexp_like("form", F.concat(F.lit(f"(?<![{C.EDGE}])"), F.col("cause"), F.lit(f"(?![{C.EDGE}])"))), F.lit(False))
+    a = a.select("doc_id", "attempt", F.length("t").alias("chars"), V.validation(F.col("form"), hit)[0].alias("valid"), F.col("attempt").alias("n"))
+    return V.first_valid(a, "doc_id", "n", "valid", ["attempt", "chars"])
+
+
+@query(f"""WITH m AS (SELECT DISTINCT {_CASE} AS cause FROM court_docs WHERE judgment_code IN ('2', '3')), s AS ({_SNAP}), g AS (SELECT decision_key, case_number, max(list_max(source_years)) AS y, coalesce(bool_or(status IN ('overturned', 'partially_overturned', 'upheld')), false) AS fin FROM s GROUP BY 1, 2)
+  SELECT decision_key, case_number, CASE WHEN y >= 2026 THEN 'current_refresh' WHEN NOT fin AND case_number IN (SELECT cause FROM m WHERE cause IS NOT NULL) THEN 'backfill' ELSE 'skip' END AS mode FROM g""")
+def q61_history_mode(spark: SparkSession, sf: str) -> DataFrame:
+    """How each known case is looked at again: refreshed in its newest year, filled in from older acts, or left."""
+    m = table(spark, sf, "court_docs").filter(F.col("judgment_code").isin(*MERITS)).select(clean_case_number(F.col("cause_num")).alias("case_number"), F.lit(True).alias("docs")).filter("case_number is not null").distinct()
+    g = snapshots(spark, sf).groupBy("decision_key", "case_number").agg(F.max(F.array_max("source_years")).alias("y"), F.coalesce(F.max(F.col("status").isin(*G.FINAL)), F.lit(False)).alias("fin"))
+    mode = V.history_mode(F.col("y"), F.lit(2026), F.col("fin"), F.lit(False), F.coalesce("docs", F.lit(False)))
+    return g.join(m, "case_number", "left").select("decision_key", "case_number", mode.alias("mode"))
+
+
 @query(_CONTAINED + f""", p AS (SELECT rec_id, {_IDENT_SQL.format(c=_fold_sql('decision_number'))} AS number, decision_date FROM practice WHERE decision_number IS NOT NULL), d AS (SELECT doc_id, min(adjudication_date) AS day FROM court_docs WHERE regexp_matches(adjudication_date, '^\\d{{4}}-\\d\\d-\\d\\d$') GROUP BY 1)
   SELECT hit.doc_id, p.rec_id, coalesce(d.day >= CASE WHEN regexp_matches(p.decision_date, '^\\d{{4}}-\\d\\d-\\d\\d$') THEN p.decision_date END, true) AS possible FROM hit JOIN p USING (number) LEFT JOIN d ON d.doc_id = hit.doc_id""")
 def q47_candidates(spark: SparkSession, sf: str) -> DataFrame:
