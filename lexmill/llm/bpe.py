@@ -18,12 +18,15 @@ Defined results: the empty and the null text give an empty list; every other tex
 from __future__ import annotations
 
 import base64
+import os
+from collections.abc import Callable
 import codecs
 import struct
 from functools import lru_cache
 
 import pyarrow as pa
 import regex
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +37,18 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+def shipped(df: DataFrame, path: str) -> Callable[[], str]:
+    """Send the vocabulary file to all executors; gives the function by which a task finds its copy."""
+    df.sparkSession.sparkContext.addFile(path)
+    name = os.path.basename(path)
+
+    def here() -> str:
+        own = SparkFiles.get(name)
+        return own if os.path.exists(own) else path
+
+    return here
+
+
 def load_ranks(path: str) -> dict[bytes, int]:
     """Token bytes to id; the id of a merged token is also its merge priority."""
     with open(path, "rb") as f:
@@ -193,9 +208,12 @@ def encode_text(text: str | None, path: str) -> bytes:
 def encode_corpus(df: DataFrame, key: str, text: str, path: str) -> DataFrame:
     """``key, ids`` of each row, repeated keys each. Narrow: no shuffle, nothing is collected; other columns are not read."""
 
+    here = shipped(df, path)
+
     def run(batches):
+        own = here()
         for b in batches:
-            parts = [encode_text(x.as_py(), path) for x in b.column(1)]
+            parts = [encode_text(x.as_py(), own) for x in b.column(1)]
             offsets, at = [0], 0
             for p in parts:
                 at += len(p) // 4
@@ -210,8 +228,10 @@ def encode_corpus(df: DataFrame, key: str, text: str, path: str) -> DataFrame:
 def decode_corpus(df: DataFrame, key: str, ids: str, path: str) -> DataFrame:
     """``key, text``: the inverse of :func:`encode_corpus` (a null list gives null)."""
 
+    here = shipped(df, path)
+
     def run(batches):
-        encoder = ids_of(path)[0].encoder
+        encoder = ids_of(here())[0].encoder
         for b in batches:
             out = []
             for x in b.column(1):

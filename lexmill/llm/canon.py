@@ -1,10 +1,16 @@
 """One consistent form of visually identical text: a compiled longest-match transducer over grapheme clusters.
 
 The mapping is computed once from the Unicode database and the look-alike pairs, and checked for conflicts
-(one image for each key; no image is a key of another image). A word (a run of letters, marks and invisible
-characters) is read once from left to right; its Cyrillic and its Latin image are built side by side and the
-word's own letters decide at its end which one is emitted, so no second pass is needed. Outside words each
-cluster is mapped as it is read.
+(one image for each key; no image is a key of another image). Its keys are grapheme clusters: a character, or a base letter
+with the marks that make a letter of an alphabet; of several keys that start at a place the longest counts, and marks that
+belong to none go. One compiled automaton runs over a text once, from left to right, and stops at
+
+- the number of a decision, in whatever characters: digits, hyphen, solidus and suffix come out plain;
+- a word (a run of letters, marks and invisible characters): its Cyrillic and its Latin image are built side by side, and the
+  word's own letters decide at its end which one is emitted;
+- any other cluster that has an image.
+
+A test for characters that may have an image comes before, so that plain texts aren't run through at all.
 
 Defined results: null stays null (no change); the empty text stays empty; text of plain characters comes out
 as it is, so a text is changed if and only if its form differs from what came in; `№`, quotation marks,
@@ -39,7 +45,7 @@ GREEK_CYRILLIC = "АВЕЗНІКМНОРТУХавеікмноргух"
 SMALL_LATIN = "tbhmnku"
 SMALL_CYRILLIC = "твнмпки"
 #: Legal forms made of letters that all have look-alikes.
-LEGAL_FORMS = frozenset({"тов", "ооо", "ат", "тнв", "сооо"})
+LEGAL_FORMS = frozenset({"тов", "ооо", "ат", "ват", "тнв", "сооо"})
 STYLES = ("<wide>", "<narrow>", "<font>", "<circle>", "<super>", "<sub>", "<small>", "<square>", "<compat>")
 _SPACES = {chr(c) for c in range(0x80, 0x3001) if unicodedata.category(chr(c)) in ("Zs", "Zl", "Zp")} | {"\x85", "\xa0"}
 _INVISIBLE_EXTRA = {"͏", "ᅟ", "ᅠ", "ㅤ", "ﾠ"} | {chr(c) for c in range(0xFE00, 0xFE10)}
@@ -116,6 +122,36 @@ def script(c: str) -> str:
     return ""
 
 
+class Keys(dict):
+    """Grapheme cluster to its image in characters of the alphabets, by longest match; each cluster is compiled when it is first seen."""
+
+    def __init__(self, native: set[str], style: dict[str, str]):
+        super().__init__()
+        self.style = style
+        self.native = native
+        # base letter with marks, in every order in which they decompose
+        self.composed = {unicodedata.normalize("NFD", c): c for c in native if unicodedata.normalize("NFD", c) != c}
+
+    def __missing__(self, cluster: str) -> str:
+        base, marks = cluster[0], cluster[1:]
+        if unicodedata.category(base)[0] == "M":  # marks without a base
+            image = ""
+        elif base in self.style:
+            image = self.style[base]
+        elif base in self.native or script(base) not in ("L", "C"):
+            image = base
+        else:  # a letter with an accent that no alphabet at hand has
+            parts = unicodedata.normalize("NFD", base)
+            image = parts[0] if len(parts) > 1 and all(unicodedata.category(x)[0] == "M" for x in parts[1:]) else base
+        for m in marks:
+            if m in self.style:
+                image += self.style[m]
+            elif image:
+                image = image[:-1] + self.composed.get(unicodedata.normalize("NFD", image[-1] + m), image[-1])
+        self[cluster] = image
+        return image
+
+
 class Transducer:
     """``profile``: ``text`` or ``number`` (every letter Cyrillic, every dash a hyphen, every slash a solidus)."""
 
@@ -131,32 +167,42 @@ class Transducer:
         plain = "".join(c for c in plain if c not in self.style)
         cyr, lat = "а-яА-ЯіїєґІЇЄҐёЁ", "a-zA-Z"
         forms = "|".join(sorted("".join(self.lat.get(x, x) for x in f) for f in LEGAL_FORMS))
-        number = rf"(?:\d{{1,3}} ?/ ?)?\d{{1,5}} ?(?:[{re.escape(DASHES)}] ?[рpРP]|-? ?[pP])(?: ?/ ?[кkКK])?(?![^\W_])|(?:\d{{1,3}} ?/ ?)?\d{{1,5}} ?-? ?[рР] ?/ ?[kK](?![^\W_])"
-        self.number = re.compile(rf"(?<![\w/]){number}")
         self.suspect = re.compile(rf"[^{re.escape(plain)}]|[{cyr}][{lat}]|[{lat}][{cyr}]|(?i:(?<![^\W_])(?:{forms})(?![^\W_]))|\d ?[{re.escape(DASHES)}] ?[рpРP]|\d ?-? ?[pP](?![a-zA-Z])|[рР] ?/ ?[kK](?![^\W_])")
-        self.run = re.compile(r"(?:[^\W\d_]|\p{M}|\p{Cf}|[︀-️͏])+|\W|[\d_]".replace(r"\p{M}|\p{Cf}", "[" + re.escape("".join(self._marks())) + "]"))
+        marks = "[" + re.escape("".join(self._marks())) + "\ufe00-\ufe0f\u034f]"
+        self.keys = Keys(self.native, self.style)
+        self.cluster = re.compile(rf"[\s\S]{marks}*")
+        run = rf"(?P<word>(?:[^\W\d_]|{marks})+)"
+        self.scan = re.compile(rf"(?P<number>{self._numbers()})|{run}|(?P<one>[^\x00-\x7f])")
+
+    def _numbers(self) -> str:
+        """Numbers of decisions with a dash, a letter or a suffix that is not plain, in any characters that stand for them."""
+        images: dict[str, str] = {}
+        for c, image in self.style.items():
+            if len(image) == 1:
+                plain = self.cyr.get(image, image)
+                images[plain] = images.get(plain, "") + c
+        gone = re.escape("".join(c for c, image in self.style.items() if not image))
+        skip = f"[{gone}]*" if gone else ""
+
+        def one(plain: str, more: str = "") -> str:
+            return "[" + re.escape(plain + more + "".join(images.get(x, "") for x in plain)) + "]" + skip
+
+        digit, blank, r, k = one("0123456789"), f"(?:{one(' ')})?", one("рР", "pP"), one("кК", "kK")
+        slash, hyphen, dash = one("/"), one("-"), "[" + re.escape(DASHES) + "]" + skip
+        prefix = rf"(?:(?:{digit}){{1,3}}{blank}{slash}{blank})?(?:{digit}){{1,5}}{blank}"
+        latin = "[pP" + re.escape("".join(c for c, i in self.style.items() if i in ("p", "P"))) + "]" + skip
+        latin_k = "[kK" + re.escape("".join(c for c, i in self.style.items() if i in ("k", "K"))) + "]" + skip
+        tail = rf"(?:{blank}{slash}{blank}{k})?(?![^\W_])"
+        suffix = rf"(?:{dash}{blank}{r}|(?:{hyphen})?{blank}{latin}){tail}"
+        return rf"(?<![\w/])(?:{prefix}{suffix}|{prefix}(?:{hyphen})?{blank}{r}{blank}{slash}{blank}{latin_k}(?![^\W_]))"
 
     @staticmethod
     def _marks() -> list[str]:
         return [chr(c) for c in range(0x80, 0x20000) if unicodedata.category(chr(c)) in ("Mn", "Me", "Mc", "Cf")]
 
-    def clusters(self, run: str) -> list[str]:
-        """Longest match over grapheme clusters: base with the marks that make a native letter; other marks and invisible characters go."""
-        out: list[str] = []
-        for c in run:
-            if c in self.style:
-                out.extend(self.style[c])
-            elif unicodedata.category(c)[0] == "M":
-                if out:
-                    joined = unicodedata.normalize("NFC", out[-1] + c)
-                    if len(joined) == 1 and joined in self.native:
-                        out[-1] = joined
-            elif c in self.native or script(c) != "L" and script(c) != "C":
-                out.append(c)
-            else:  # a letter with an accent that no alphabet at hand has
-                base = unicodedata.normalize("NFD", c)
-                out.append(base[0] if len(base) > 1 and all(unicodedata.category(x)[0] == "M" for x in base[1:]) else c)
-        return out
+    def clusters(self, run: str) -> str:
+        """The image of a run, cluster by cluster, each by its longest key."""
+        return "".join(self.keys[m[0]] for m in self.cluster.finditer(run))
 
     def word(self, run: str) -> str:
         got = self.known.get(run)
@@ -188,16 +234,22 @@ class Transducer:
         # letters of one script only decide; a word of look-alikes alone is taken as Cyrillic
         return "".join(lat if own_l and not own_c else cyr)
 
-    def _number(self, m: re.Match) -> str:
-        return "".join("-" if x in DASHES else self.cyr.get(x, x) for x in m[0])
+    def _number(self, run: str) -> str:
+        plain = "".join(self.keys[c] for c in run)
+        return "".join("-" if x in DASHES else self.cyr.get(x, x) for x in plain)
+
+    def _emit(self, m: re.Match) -> str:
+        if m.lastgroup == "word":
+            return self.word(m[0])
+        return self._number(m[0]) if m.lastgroup == "number" else self.keys[m[0]]
 
     def __call__(self, text: str) -> str:
         if not text or self.profile == "text" and not self.suspect.search(text):
             return text
-        out = self.run.sub(lambda m: self.word(m[0]) if len(m[0]) > 1 or m[0].isalpha() or not m[0].isascii() else m[0], text)
+        out = self.scan.sub(self._emit, text)
         if self.profile == "number":
             return "".join("-" if x in DASHES else "/" if x in SLASHES else x for x in out)
-        return self.number.sub(self._number, out)
+        return out
 
 
 @lru_cache

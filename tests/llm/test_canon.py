@@ -65,3 +65,24 @@ def test_operator(spark):
     assert got == [(1, "n", True, ("66/421-р",)), (1, "p", True, ("ТОВ «А»", None)), (2, "n", False, None), (2, "p", False, None), *[(3, "n", False, ("5-р",))] * 2, *[(3, "p", False, ())] * 2]
     assert canon.canonical(df, "rec_id", {"n": "number"}, only_changed=True, texts=False).collect()[0].asDict() == {"rec_id": 1, "field_name": "n", "changed": True}
     assert canon.canonical(df.limit(0), "rec_id", {"n": "number"}).count() == 0
+
+
+@pytest.mark.parametrize("text, want", [("у ７７/２３５–р", "у 77/235-р"), ("12 − p / k.", "12 - р / к."), ("61/1042р/k", "61/1042р/к"), ("5-ріг", "5-ріг"), ("BAT «Зоря»", "ВАТ «Зоря»"), ("PAT «Zoria»", "PAT «Zoria»")])
+def test_numbers_and_forms_within_texts(text, want):
+    assert T(text) == want and T(want) == want
+
+
+BREVE, DIAERESIS, ACUTE = chr(0x306), chr(0x308), chr(0x301)
+
+
+def test_longest_key_counts():
+    keys = canon.Keys(set("иійї"), canon.style_map())
+    assert [keys[c] for c in ("и", "и" + BREVE, "і" + DIAERESIS, "и" + ACUTE, "и" + BREVE + ACUTE, ACUTE, "①")] == ["и", "й", "ї", "и", "й", "", "1"]
+
+
+def test_each_text_is_run_through_once(monkeypatch):
+    machine, seen = canon.Transducer("text"), []
+    emit = machine._emit
+    machine._emit = lambda m: seen.append(m.span()) or emit(m)
+    machine("ТОΒ «Х» 81/724−р/к 1")
+    assert seen == sorted(seen) and all(a[1] <= b[0] for a, b in zip(seen, seen[1:]))
