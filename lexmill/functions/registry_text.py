@@ -31,12 +31,18 @@ def clean_decision_number(col: Column) -> Column:
     return F.when(col.rlike(r"^(?:\d+/)?\d+-р(?:/к)?$"), col).otherwise(_folded_number(col))
 
 
+def _once(value: Column, f) -> Column:
+    """``f(value)`` with the value computed once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def _folded_number(col: Column) -> Column:
-    t = F.lower(to_cyrillic(base(col)))
-    t = F.regexp_replace(t, "[^0-9а-яіїєґ/]", "")
-    head = F.regexp_extract(t, r"^[^0-9]*(\d[\d/]*?)/?(?:[^\d/].*)?$", 1)
-    tail = F.when(F.regexp_extract(t, r"\d/?([^\d/].*)$", 1).isin("р/к", "рк"), F.lit("-р/к")).otherwise(F.lit("-р"))
-    return F.when(head != "", F.concat(head, tail))
+    def read(t: Column) -> Column:
+        head = F.regexp_extract(t, r"^[^0-9]*(\d[\d/]*?)/?(?:[^\d/].*)?$", 1)
+        tail = F.when(F.regexp_extract(t, r"\d/?([^\d/].*)$", 1).isin("р/к", "рк"), F.lit("-р/к")).otherwise(F.lit("-р"))
+        return F.when(head != "", F.concat(head, tail))
+
+    return _once(F.regexp_replace(F.lower(to_cyrillic(base(col))), "[^0-9а-яіїєґ/]", ""), read)
 
 
 def clean_date(col: Column) -> Column:
@@ -46,7 +52,6 @@ def clean_date(col: Column) -> Column:
 
 
 def _folded_date(col: Column) -> Column:
-    t = F.lower(to_cyrillic(base(col)))
     ymd = r"(?<!\d)((?:19|20)\d\d)[-/.](\d{1,2})[-/.](\d{1,2})(?!\d)"
     dmy = r"(?<!\d)(\d{1,2})[-/.](\d{1,2})[-/.]((?:19|20)\d\d)(?!\d)"
     words = r"(?<!\d)(\d{1,2}) (" + "|".join(MONTHS_GENITIVE) + r") ((?:19|20)\d\d)(?!\d)"
@@ -54,13 +59,14 @@ def _folded_date(col: Column) -> Column:
 
     def day(y: Column, m: Column, d: Column) -> Column:
         text = F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0"))
-        return F.when(y != "", F.date_format(F.try_to_date(text, "yyyy-MM-dd"), "yyyy-MM-dd"))
+        return F.date_format(F.try_to_date(text, "yyyy-MM-dd"), "yyyy-MM-dd")
 
-    def part(p: str, i: int) -> Column:
-        return F.regexp_extract(t, p, i)
+    def read(t: Column) -> Column:
+        part = lambda p, i: F.regexp_extract(t, p, i)
+        return F.coalesce(
+            F.when(t.rlike(ymd), day(part(ymd, 1), part(ymd, 2), part(ymd, 3))),
+            F.when(t.rlike(dmy), day(part(dmy, 3), part(dmy, 2), part(dmy, 1))),
+            F.when(t.rlike(words), day(part(words, 3), F.try_element_at(month, part(words, 2)), part(words, 1))),
+        )
 
-    return F.coalesce(
-        day(part(ymd, 1), part(ymd, 2), part(ymd, 3)),
-        day(part(dmy, 3), part(dmy, 2), part(dmy, 1)),
-        day(part(words, 3), F.try_element_at(month, part(words, 2)), part(words, 1)),
-    )
+    return _once(F.lower(to_cyrillic(base(col))), read)
