@@ -16,7 +16,7 @@ selection for edit distance, for all lengths within ``EDITS``), verifies what it
 its own segments. One of ``EDITS + 1`` segments is always left unedited, so no pair within the bound is missed.
 
 The index is kept in a folder: entries partitioned by a hash of their key, of which a batch reads the partitions of its own keys
-only; strings and the links between them are appended. Nothing is ever rewritten. (As the rest of the string is part of the key, strings
+only; strings and the links between them are appended. What is accepted is never rewritten. (As the rest of the string is part of the key, strings
 that share a key differ in the free part of one number or date alone: no key is shared by many.)
 
 Equal strings are one entry, however many rows repeat them, so a hot act makes no hot group; strings that share a pair of
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.registry_text import base, clean_date, clean_decision_number
 from lexmill.llm.graph import components
-from lexmill.session import scratch_path, written
+from lexmill.session import scratch_path
 
 PARTS = ("date", "number", "figures")
 #: Greatest edit distance of two strings of one act; a mistyped part is cut into one segment more.
@@ -47,7 +47,9 @@ BUCKETS = 16
 #: Kinds of keys: pairs of parts, and segments of the number and of the date.
 PAIRS = {0: ("date", "number"), 1: ("date", "figures"), 2: ("number", "figures")}
 SLIPS = {3: ("number", "date"), 4: ("date", "number")}
-ENTRY = "kind int, key long, part string, first long, bucket int"
+ENTRY = "kind int, key long, part string, first long, load int, bucket int"
+STRING = "date string, number string, figures string, first long, load int"
+LINK = "a long, b long, load int"
 
 
 def figures_of(summary: Column) -> Column:
@@ -168,37 +170,48 @@ class SegmentIndex:
         self.spark, self.buckets = spark, buckets
         self.path = path or scratch_path(spark, "segment-index")
 
-    def _read(self, name: str, schema: str) -> DataFrame | None:
+    def _path(self, name: str):
         at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        there = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}") if there else None
+        return at, at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def entries(self, of: list[int] | None = None) -> DataFrame | None:
-        """All entries, or those of some buckets: a filter on the folders, so nothing else is read. None before the first batch."""
+    def loads(self) -> int:
+        """Batches accepted so far: the folders of links, which are written last."""
+        at, fs = self._path("links")
+        return len(fs.globStatus(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/links/load=*/_SUCCESS"))) if fs.exists(at) else 0
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+
+    def entries(self, of: list[int] | None = None) -> DataFrame:
+        """All entries, or those of some buckets: a filter on the folders, so nothing else is read."""
         e = self._read("entries", ENTRY)
-        return e if e is None or of is None else e.filter(F.col("bucket").isin(of))
+        return e if of is None else e.filter(F.col("bucket").isin(of))
 
     def accept(self, batch: DataFrame) -> None:
-        """Find the links of a batch (see :func:`act_parts`) to the index and within itself, then append it."""
-        strs = written(strings(batch), "strings")
-        own = written(pairs(strs, self.buckets).unionByName(segments(strs, buckets=self.buckets)), "entries")
-        held = self.entries()
-        asked = probes(strs, buckets=self.buckets, shorter=held is None)
-        shared = own.filter("kind <= 2").withColumn("new", F.lit(True))
-        segs = own.filter("kind > 2")
-        if held is not None:
+        """Find the links of a batch (see :func:`act_parts`) to the index and within itself, and append it.
+
+        Each batch has folders of its own; one that broke off is written anew in their place.
+        """
+        k = self.loads()
+        own_strings, own_entries = f"{self.path}/strings/load={k}", f"{self.path}/entries/load={k}"
+        strings(batch).write.mode("overwrite").parquet(own_strings)
+        strs = self.spark.read.schema("date string, number string, figures string, first long").parquet(own_strings)
+        both = pairs(strs, self.buckets).unionByName(segments(strs, buckets=self.buckets))
+        both.repartition(self.buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(own_entries)
+        own = self.spark.read.schema("kind int, key long, part string, first long, bucket int").parquet(own_entries)
+        asked = probes(strs, buckets=self.buckets, shorter=k == 0)
+        shared, segs = own.filter("kind <= 2").withColumn("new", F.lit(True)), own.filter("kind > 2")
+        if k:
             of = sorted(r.bucket for r in own.select("bucket").unionByName(asked.select("bucket")).distinct().collect())  # at most ``buckets`` numbers
-            held = self.entries(of)
+            held = self.entries(of).filter(F.col("load") < k).drop("load")
             shared = shared.unionByName(held.filter("kind <= 2").join(shared.select("key"), "key", "left_semi").withColumn("new", F.lit(False)))
             segs = segs.unionByName(held.filter("kind > 2"))
-        shared_pairs(shared).unionByName(slips(asked, segs)).write.mode("append").parquet(f"{self.path}/links")
-        own.repartition(self.buckets, "bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/entries")
-        strs.write.mode("append").parquet(f"{self.path}/strings")
+        shared_pairs(shared).unionByName(slips(asked, segs)).write.mode("overwrite").parquet(f"{self.path}/links/load={k}")
 
     def acts(self) -> DataFrame:
         """``date, number, figures, act``: the least record of the act of each string."""
-        roots = components(self._read("links", "a long, b long"))
-        strs = self._read("strings", "date string, number string, figures string, first long")
+        roots = components(self._read("links", LINK))
+        strs = self._read("strings", STRING)
         return strs.join(roots, F.col("first") == F.col("node"), "left").groupBy(*PARTS).agg(F.min(F.coalesce("root", "first")).alias("act"))
 
     def repeats(self, batch: DataFrame) -> DataFrame:
