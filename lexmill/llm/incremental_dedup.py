@@ -207,6 +207,8 @@ class SegmentIndex:
             shared = shared.unionByName(held.filter("kind <= 2").join(shared.select("key"), "key", "left_semi").withColumn("new", F.lit(False)))
             segs = segs.unionByName(held.filter("kind > 2"))
         shared_pairs(shared).unionByName(slips(asked, segs)).write.mode("overwrite").parquet(f"{self.path}/links/load={k}")
+        # the context cleaner drops the broadcasts and shuffle files of a batch only once its plans are collected
+        self.spark.sparkContext._jvm.System.gc()
 
     def acts(self) -> DataFrame:
         """``date, number, figures, act``: the least record of the act of each string."""
