@@ -170,14 +170,15 @@ class SegmentIndex:
         self.spark, self.buckets = spark, buckets
         self.path = path or scratch_path(spark, "segment-index")
 
-    def _path(self, name: str):
-        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+    def _marks(self, name: str):
+        """A path in the folder of marks, one for each accepted batch, and its file system."""
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/accepted/{name}")
         return at, at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def loads(self) -> int:
-        """Batches accepted so far: the folders of links, which are written last."""
-        at, fs = self._path("links")
-        return len(fs.globStatus(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/links/load=*/_SUCCESS"))) if fs.exists(at) else 0
+        """Batches accepted so far."""
+        at, fs = self._marks("*")
+        return len(fs.globStatus(at) or [])
 
     def _read(self, name: str, schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
@@ -190,7 +191,7 @@ class SegmentIndex:
     def accept(self, batch: DataFrame) -> None:
         """Find the links of a batch (see :func:`act_parts`) to the index and within itself, and append it.
 
-        Each batch has folders of its own; one that broke off is written anew in their place.
+        Each batch has folders of its own and a mark once it is accepted; one that broke off is written anew in its place.
         """
         k = self.loads()
         own_strings, own_entries = f"{self.path}/strings/load={k}", f"{self.path}/entries/load={k}"
@@ -207,6 +208,8 @@ class SegmentIndex:
             shared = shared.unionByName(held.filter("kind <= 2").join(shared.select("key"), "key", "left_semi").withColumn("new", F.lit(False)))
             segs = segs.unionByName(held.filter("kind > 2"))
         shared_pairs(shared).unionByName(slips(asked, segs)).write.mode("overwrite").parquet(f"{self.path}/links/load={k}")
+        at, fs = self._marks(str(k))
+        fs.create(at).close()
         # the context cleaner drops the broadcasts and shuffle files of a batch only once its plans are collected
         self.spark.sparkContext._jvm.System.gc()
 

@@ -127,3 +127,18 @@ def test_lost_parts_link_to_the_earliest_and_to_no_other(spark):
     batches = [[(10, None, "2020-01-01", facts(5, 5), None)], [(20, None, "2020-01-01", facts(5, 5), None), (21, "20/777-р/к", "2020-01-01", None, None)]]
     assert found(spark, history, batches) == {(1, 10), (1, 20), (2, 21)}
     assert found(spark, [], [[(10, None, "2020-01-01", facts(5, 5), None)], [(20, None, "2020-01-01", facts(5, 5), None)], [(30, "7-р", "2020-01-01", facts(5, 5), None)]]) == {(10, 20), (10, 30)}
+
+
+def test_a_batch_that_broke_off_is_written_anew(spark, monkeypatch):
+    parts = lambda rows: inc.act_parts(spark.createDataFrame(rows, SCHEMA))
+    index = inc.SegmentIndex(spark)
+    index.accept(parts(HISTORY))
+    with monkeypatch.context() as m:
+        m.setattr(inc, "slips", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            index.accept(parts(BATCHES[0]))
+    assert index.loads() == 1
+    index.accept(parts(BATCHES[0]))
+    index.accept(parts(BATCHES[1]))
+    assert index.loads() == 3
+    assert {(r.rec_id_first, r.rec_id_dup) for r in index.repeats(parts(BATCHES[0] + BATCHES[1])).collect()} == WANT
