@@ -58,5 +58,6 @@ def contained(texts: DataFrame, doc: str, form: str, identifiers: DataFrame, ide
     ids = identifiers.select(identifier).filter(F.col(identifier) != "").distinct().withColumn("_t", canonical(F.col(identifier)))
     cut = texts.select(doc, F.explode(tokens(F.col(form), *shapes(ids, identifier))).alias("_t"))
     # only keys and tokens are joined; the texts come back for the pairs that are left
-    pairs = cut.join(ids, "_t").select(doc, identifier).distinct().join(texts.select(doc, form), doc)
+    # the optimizer's estimates go by the size of the files, far below that of tokens and texts: merged, neither is ever sent to the driver for a broadcast
+    pairs = cut.join(ids.hint("merge"), "_t").select(doc, identifier).distinct().join(texts.select(doc, form).hint("merge"), doc)
     return pairs.filter(F.regexp_like(F.col(form), pattern(F.col(identifier)))).select(doc, identifier).distinct()

@@ -273,6 +273,26 @@ def test_plans_prune_and_push(spark, data):
     assert "search_blob" not in plan("q31_sanctions")
 
 
+def broadcast_columns(df):
+    """Names of the columns that the planned broadcasts hold."""
+    todo, names = [df._jdf.queryExecution().sparkPlan()], set()
+    while todo:
+        n = todo.pop()
+        if "Broadcast" in n.nodeName():
+            out = (n.left() if "Left" in n.buildSide().toString() else n.right()).output()
+            names |= {out.apply(i).name() for i in range(out.size())}
+        todo += [n.children().apply(i) for i in range(n.children().size())]
+    return names
+
+
+@pytest.mark.parametrize("name, large", [("q19_fallback", {"form", "_t"})])
+def test_texts_are_never_broadcast(spark, data, name, large):
+    import __spark_entry__ as e
+
+    # the small tables are under any threshold, so only the plan itself keeps them from a broadcast
+    assert not broadcast_columns(e.queries()[name](spark, data)) & large
+
+
 def test_registered_queries_run(spark, data):
     import __spark_entry__ as e
 
