@@ -222,7 +222,8 @@ def q60_signals(spark: SparkSession, sf: str) -> DataFrame:
     """What supports a candidate besides its number: the day and a party in the text; with neither a yes is weak."""
     p = table(spark, sf, "practice").filter("decision_number is not null").select("rec_id", X.identifier_form(fold_digits(F.col("decision_number"))).alias("number"), F.when(F.col("decision_date").rlike(r"^\d{4}-\d\d-\d\d$"), F.try_to_date("decision_date", "yyyy-MM-dd")).alias("day"), F.coalesce("party_norms", F.array().cast("array<string>")).alias("norms"))
     forms = table(spark, sf, "court_texts").filter("text is not null").select("doc_id", Q._form(F.col("text")).alias("form"))
-    c = Q.held_numbers(spark, sf).join(p, "number").join(forms, "doc_id")
+    # merged, as in containment: by the size of their file the forms would be broadcast
+    c = Q.held_numbers(spark, sf).join(p, "number").join(forms.hint("merge"), "doc_id")
     c = c.select("doc_id", "rec_id", V.holds_date(F.col("form"), F.col("day")).alias("date_hit"), V.party_needle(F.col("form"), F.col("norms")).isNotNull().alias("party_hit"))
     return c.withColumn("strength", K.strength(F.col("party_hit"))).withColumn("weak_yes", K.weak(F.lit("YES"), F.col("date_hit"), F.col("party_hit")))
 
