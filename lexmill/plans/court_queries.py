@@ -338,7 +338,8 @@ def q47_candidates(spark: SparkSession, sf: str) -> DataFrame:
     iso = lambda c: F.when(F.col(c).rlike(r"^\d{4}-\d\d-\d\d$"), F.col(c))
     p = table(spark, sf, "practice").filter("decision_number is not null").select("rec_id", X.identifier_form(fold_digits(F.col("decision_number"))).alias("number"), iso("decision_date").alias("decided"))
     d = table(spark, sf, "court_docs").groupBy("doc_id").agg(F.min(iso("adjudication_date")).alias("day"))
-    return held_numbers(spark, sf).join(p, "number").join(d, "doc_id", "left").select("doc_id", "rec_id", F.coalesce(F.col("day") >= F.col("decided"), F.lit(True)).alias("possible"))
+    # one row for each document of the register: merged, whatever its file's size says
+    return held_numbers(spark, sf).join(p, "number").join(d.hint("merge"), "doc_id", "left").select("doc_id", "rec_id", F.coalesce(F.col("day") >= F.col("decided"), F.lit(True)).alias("possible"))
 
 
 @query(f"""WITH s AS ({_SNAP}), k AS (SELECT DISTINCT decision_key, case_number FROM s), p AS (SELECT decision_key, min(rec_id) AS rec_id FROM practice GROUP BY 1)
