@@ -285,7 +285,7 @@ def broadcast_columns(df):
     return names
 
 
-@pytest.mark.parametrize("name, large", [("q19_fallback", {"form", "_t"}), ("q60_signals", {"form", "_t"}), ("q18_containment", {"form", "_t"}), ("q47_candidates", {"form", "_t", "day"})])
+@pytest.mark.parametrize("name, large", [("q19_fallback", {"form", "_t"}), ("q60_signals", {"form", "_t"}), ("q18_containment", {"form", "_t"}), ("q47_candidates", {"form", "_t", "day"}), ("q60_discovery", {"form", "_t"})])
 def test_texts_are_never_broadcast(spark, data, name, large):
     import __spark_entry__ as e
 
