@@ -46,10 +46,14 @@ def discovered(cases: DataFrame, hits: DataFrame, excluded: DataFrame) -> DataFr
     ``cases``: cause, primary_doc, primary_kind, earliest (ids); ``hits``: doc_id, number; ``excluded``: doc_id of texts in which the authority itself sues.
     The earliest document is looked at only where the first one has no hit at all; an excluded first document drops its own candidates, never those of the earliest.
     """
-    first = cases.join(hits, F.col("primary_doc") == F.col("doc_id")).select("cause", "doc_id", "number", F.col("primary_kind").alias("source"))
-    rest = cases.filter(F.col("earliest") != F.col("primary_doc")).join(first.select("cause").distinct(), "cause", "left_anti")
-    second = rest.join(hits, F.col("earliest") == F.col("doc_id")).select("cause", "doc_id", "number", F.lit("earliest_fallback").alias("source"))
-    return first.join(excluded.select("doc_id"), "doc_id", "left_anti").select("cause", "doc_id", "number", "source").unionByName(second)
+    doc = lambda c, source, first: F.struct(F.col(c).alias("doc_id"), source.alias("source"), F.lit(first).alias("_first"))
+    fallback = F.when(F.col("earliest") != F.col("primary_doc"), doc("earliest", F.lit("earliest_fallback"), False))
+    looked = cases.select("cause", F.explode(F.array(doc("primary_doc", F.col("primary_kind"), True), fallback)).alias("_d")).select("cause", "_d.*")
+    # all inputs grow with the register, and the optimizer's estimates go by the size of its files: merged, none is ever sent to the driver for a broadcast
+    found = looked.join(hits.hint("merge"), "doc_id").withColumn("_any", F.max("_first").over(Window.partitionBy("cause")))
+    own = found.filter(F.col("_first") | ~F.col("_any"))
+    out = excluded.select(F.col("doc_id").alias("_x"))
+    return own.join(out.hint("merge"), F.col("_first") & (F.col("doc_id") == F.col("_x")), "left_anti").select("cause", "doc_id", "number", "source")
 
 
 def strength(party: Column) -> Column:

@@ -293,6 +293,13 @@ def test_texts_are_never_broadcast(spark, data, name, large):
     assert not broadcast_columns(e.queries()[name](spark, data)) & large
 
 
+def test_discovery_broadcasts_the_names_of_courts_only(spark, data):
+    import __spark_entry__ as e
+
+    # cases, hits and excluded documents grow with the register, whatever the files' size makes the optimizer believe
+    assert broadcast_columns(e.queries()["q60_discovery"](spark, data)) <= {"court_code", "court"}
+
+
 def test_registered_queries_run(spark, data):
     import __spark_entry__ as e
 
